@@ -137,6 +137,7 @@ def grams(ids: np.ndarray, k: int) -> np.ndarray:
 BITMAP_BITS = 27
 #: Hashes that a task gathers before it sorts and sends them.
 CENSUS_FLUSH = 3_000_000
+COUNT_MAX = 65_535
 
 
 def pack_sorted(x: np.ndarray) -> bytes:
@@ -155,7 +156,7 @@ def census_mapper(hashes_of, bits: int):
 
     def flush(parts: list[np.ndarray]):
         h, n = np.unique(np.concatenate(parts) >> np.uint64(32 - bits), return_counts=True)  # bits + 32 leading bits
-        n = np.minimum(n, 255).astype(np.uint8)
+        n = np.minimum(n, COUNT_MAX).astype(np.uint16)
         edges = np.searchsorted(h, np.arange(2**bits + 1, dtype=np.uint64) << np.uint64(32))
         rows = [(b, pack_sorted((h[i:j] & np.uint64(0xFFFFFFFF)).astype(np.uint32)), zstandard.compress(n[i:j].tobytes(), 1)) for b, (i, j) in enumerate(zip(edges, edges[1:], strict=False)) if j > i]
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], ["bucket", "codes", "counts"])
@@ -179,7 +180,7 @@ def census_mapper(hashes_of, bits: int):
 def census(docs: DataFrame, hashes_of, over: tuple[int, ...]) -> list[bytes]:
     """For each bound in ``over`` a bitmap of the hashes that more than that many documents hold.
 
-    A hash counts once for each document; counts stop at 255 a task, so bounds are below that. The bitmaps have a fixed
+    A hash counts once for each document; a task's count stops at COUNT_MAX, so bounds are below that. The bitmaps have a fixed
     size and are all that comes to the driver.
     """
     spark = docs.sparkSession
@@ -190,7 +191,7 @@ def census(docs: DataFrame, hashes_of, over: tuple[int, ...]) -> list[bytes]:
         codes: dict[int, list] = {}
         for batch in batches:
             for b, c, n in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                codes.setdefault(b, []).append((unpack_sorted(c), np.frombuffer(zstandard.decompress(n), np.uint8)))
+                codes.setdefault(b, []).append((unpack_sorted(c), np.frombuffer(zstandard.decompress(n), np.uint16)))
                 if len(codes[b]) >= 16:  # merge as they come, so memory follows the distinct hashes of a bucket
                     codes[b] = [joined(codes[b])]
         for b, parts in codes.items():

@@ -21,8 +21,6 @@ from pyspark.sql import functions as F
 
 #: White space between words, as a class of Java's and DuckDB's regular expressions.
 SPACE = r"[\x20\x09-\x0D]"
-#: Entries of a worker's word cache; it is emptied when full.
-CACHE_WORDS = 300_000
 
 
 # ---------------------------------------------------------------- scratch tables
@@ -95,20 +93,95 @@ def raw(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 
 
-class WordIds(dict):
-    """64-bit hashes of words, kept per worker up to CACHE_WORDS."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
-WORD_IDS = WordIds()
+_RANDOM = np.random.default_rng(20260807)
+_CODE = _RANDOM.integers(1, 2**64, 256, np.uint64)
+_LOWER = np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), _CODE[np.arange(256) + 32 * ((np.arange(256) >= 65) & (np.arange(256) <= 90))], _CODE)
+_SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
+#: Bytes hashed at once.
+STRETCH = 1 << 19
+_BASE = 0x9E3779B97F4A7C15 | 1
+_POWERS: list[np.ndarray] = []
+
+
+def _powers() -> list[np.ndarray]:
+    """Powers of an odd number modulo 2**64, and of its inverse, one for each byte of a stretch; made once a worker."""
+    if not _POWERS:
+        for base in (_BASE, pow(_BASE, -1, 2**64)):
+            x = np.empty(STRETCH + 1, np.uint64)
+            x[0], n = 1, 1
+            while n <= STRETCH:
+                m = min(n, STRETCH + 1 - n)
+                x[n : n + m] = x[:m] * np.uint64(pow(base, n, 2**64))
+                n += m
+            _POWERS.append(x)
+    return _POWERS
+
+
+def word_hashes(column: pa.Array, lower: bool = False):
+    """For each text of a column the 64-bit hashes of its words, or None for a null. Texts are hashed many at a time; those longer
+    than a stretch in parts that end at white space (a longer word in one part of its own)."""
+    if not len(column):
+        return
+    column = column.cast(pa.large_string()) if not pa.types.is_large_string(column.type) else column
+    offsets = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8)
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    valid = column.is_valid().to_numpy(zero_copy_only=False)
+    i, n = 0, len(column)
+    while i < n:
+        j = i + 1
+        while j < n and offsets[j + 1] - offsets[i] < STRETCH:
+            j += 1
+        low, high = int(offsets[i]), int(offsets[j])
+        if high - low <= STRETCH:
+            # the last word of a text must not run into the next one
+            h, begin = _split(data[low:high], offsets[i : j + 1] - low, lower)
+            at = np.searchsorted(begin, offsets[i : j + 1] - low)
+            for k in range(j - i):
+                yield h[at[k] : at[k + 1]] if valid[i + k] else None
+        else:
+            parts = []
+            while low < high:
+                end = min(high, low + STRETCH)
+                if end < high:
+                    back = np.flatnonzero(_SPACE[data[low:end]])
+                    if len(back):
+                        end = low + int(back[-1]) + 1
+                    else:
+                        ahead = np.flatnonzero(_SPACE[data[end:high]])
+                        end = end + int(ahead[0]) if len(ahead) else high
+                if end - low <= STRETCH:
+                    parts.append(_split(data[low:end], np.empty(0, np.int64), lower)[0])
+                else:
+                    word = data[low:end].tobytes()
+                    parts.append(np.array([xxhash.xxh3_64_intdigest(word.lower() if lower else word)], np.uint64))
+                low = end
+            yield np.concatenate(parts) if valid[i] else None
+        i = j
+
+
+def _split(data: np.ndarray, bounds: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of up to STRETCH bytes, and where each begins: prefix sums of random codes times powers of a
+    base give every word's polynomial at once. A word also ends where its text does, at one of bounds."""
+    up, down = _powers()
+    inside = ~_SPACE[data]
+    if not len(inside):
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    cut = bounds[(bounds > 0) & (bounds < len(data))]
+    cut = cut[inside[cut] & inside[cut - 1]]
+    first = inside & np.r_[True, ~inside[:-1]]
+    last = inside & np.r_[~inside[1:], True]
+    first[cut] = True
+    last[cut - 1] = True
+    begin, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((_LOWER if lower else _CODE)[data] * up[: len(data)], out=sums[1:])
+    return mix((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64)), begin
+
+
+def distinct(h: np.ndarray) -> np.ndarray:
+    """np.unique for short arrays."""
+    s = np.sort(h)
+    return s[np.r_[True, s[1:] != s[:-1]]] if len(s) > 1 else s
 
 
 def mix(h: np.ndarray) -> np.ndarray:

@@ -19,10 +19,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isthmus.llm.common import WORD_IDS, Scratch, census, connected_components, grams, in_bitmap, mix, raw, read
+from isthmus.llm.common import Scratch, census, connected_components, distinct, grams, in_bitmap, mix, raw, read, word_hashes
 from isthmus.llm.vectors import runs
 
 #: Documents above which a shingle is frequent and comes last in the order.
@@ -31,15 +32,13 @@ FREQUENT = 32
 BLOCK, BEST = 2000, 3
 
 
-def shingles(text: bytes | None, k: int) -> np.ndarray:
-    """Sorted distinct hashes of k-word shingles; of fewer words, of the whole sequence; of none, nothing."""
-    words = text.lower().split() if text else []
-    if not words:
+def shingles(ids: np.ndarray | None, k: int) -> np.ndarray:
+    """Sorted distinct hashes of the k-word shingles of words given as hashes; of fewer words, of the whole sequence; of none, nothing."""
+    if ids is None or not len(ids):
         return np.empty(0, np.uint64)
-    ids = WORD_IDS.of(words)
     if len(ids) < k:
         return mix(grams(ids, len(ids)) + np.uint64(len(ids)))
-    return np.unique(grams(ids, k))
+    return distinct(grams(ids, k))
 
 
 def class_id(s: np.ndarray) -> int:
@@ -70,8 +69,8 @@ def profiles(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
 
     def once(batch: pa.RecordBatch):
         seen = set()
-        for t in raw(batch.column(1)):
-            s = shingles(t, k)
+        for ids in word_hashes(batch.column(1), lower=True):
+            s = shingles(ids, k)
             if len(s) and (c := class_id(s)) not in seen:
                 seen.add(c)
                 yield s
@@ -83,8 +82,8 @@ def profiles(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
         two, many = (np.frombuffer(b, np.uint8) for b in sent.value)
         for batch in batches:
             seen, cols = set(), [[] for _ in range(4)]
-            for t in raw(batch.column(1)):
-                s = shingles(t, k)
+            for ids in word_hashes(batch.column(1), lower=True):
+                s = shingles(ids, k)
                 row = [len(s), None, None, None]
                 if len(s):
                     row[1] = c = class_id(s)
@@ -103,8 +102,9 @@ def profiles(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, row long, n long, cid long, sketch binary, prefix array<long>")
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """cid and set of the classes in wanted (cid), and by chance of a few others: a fixed-size bitmap tells the tasks which."""
+def texts_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """cid and packed text of the classes in wanted (cid), and by chance of a few others: a fixed-size bitmap tells the tasks which.
+    Texts pack better than sets and are hashed again where they are compared."""
 
     def ids(batch: pa.RecordBatch):
         yield mix(batch.column(0).to_numpy().view(np.uint64))
@@ -113,42 +113,47 @@ def sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches):
-        marks = np.frombuffer(sent.value, np.uint8)
+        marks, packer = np.frombuffer(sent.value, np.uint8), zstandard.ZstdCompressor(level=3)
         for batch in batches:
             out, seen = [], set()
-            for t in raw(batch.column(1)):
-                s = shingles(t, k)
+            for i, h in enumerate(word_hashes(batch.column(1), lower=True)):
+                s = shingles(h, k)
                 if len(s) and (c := class_id(s)) not in seen and in_bitmap(marks, mix(np.array([c]).view(np.uint64)))[0]:
                     seen.add(c)
-                    out.append((c, s.tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.binary())], ["cid", "set"])
+                    out.append((c, packer.compress(raw(batch.column(1).slice(i, 1))[0])))
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.binary())], ["cid", "packed"])
 
-    return docs.mapInArrow(run, "cid long, set binary").join(wanted, "cid", "left_semi").groupBy("cid").agg(F.first("set").alias("set"))
+    return docs.mapInArrow(run, "cid long, packed binary").groupBy("cid").agg(F.first("packed").alias("packed"))
 
 
 def verified(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int, scratch: Scratch) -> DataFrame:
     """pairs (a, b) with ok: den * overlap >= num * union on the whole sets. A class with many partners is split in shares of
-    about BLOCK, each with its own copy of the set."""
+    about BLOCK, each with its own copy of the text."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-    sets = scratch.table(sets_of(docs, wanted, k), "sets")
+    texts = scratch.table(texts_of(docs, wanted, k), "texts")
     shares = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("shares"))
     dealt = pairs.join(shares, "a").withColumn("share", F.pmod(F.xxhash64("b"), F.col("shares")).cast("int"))
-    centre = shares.withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).join(sets, F.col("a") == F.col("cid"))
-    rows = centre.select("a", "share", F.lit(None).cast("long").alias("b"), "set").unionAll(dealt.join(sets, F.col("b") == F.col("cid")).select("a", "share", "b", "set"))
+    centre = shares.select("a", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(None).cast("long").alias("b"), F.col("a").alias("cid"))
+    # one row per use of a text, so that texts are joined once
+    uses = centre.unionAll(dealt.select("a", "share", "b", F.col("b").alias("cid")))
+    rows = uses.join(texts, "cid").select("a", "share", "b", "packed")
 
     def run(batches):
-        at, base = None, None
+        at, base, reader = None, None, zstandard.ZstdDecompressor()
         for batch in batches:
             out = []
-            for a, share, b, s in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                s = np.frombuffer(s, np.uint64)
-                if b is None:
-                    at, base = (a, share), s
-                elif at == (a, share):
-                    i = np.searchsorted(base, s)
-                    i[i == len(base)] = 0
-                    both = int((base[i] == s).sum())
-                    out.append((a, b, den * both >= num * (len(base) + len(s) - both)))
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                hashed = word_hashes(pa.array([reader.decompress(x) for x in part.column(3).to_pylist()], pa.large_binary()).cast(pa.large_string()), lower=True)
+                for a, share, b, ids in zip(*(part.column(i).to_pylist() for i in range(3)), hashed, strict=True):
+                    s = shingles(ids, k)
+                    if b is None:
+                        at, base = (a, share), s
+                    elif at == (a, share):
+                        i = np.searchsorted(base, s)
+                        i[i == len(base)] = 0
+                        both = int((base[i] == s).sum())
+                        out.append((a, b, den * both >= num * (len(base) + len(s) - both)))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()), pa.array([r[2] for r in out], pa.bool_())], ["a", "b", "ok"])
 
     return rows.repartition("a", "share").sortWithinPartitions("a", "share", F.col("b").asc_nulls_first()).mapInArrow(run, "a long, b long, ok boolean")

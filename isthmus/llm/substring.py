@@ -2,10 +2,11 @@
 
 A window of W words that another document holds too shares its minimizer, the least hash of its runs of GRAM words. A census marks
 minimizers of two or more documents in a bitmap of fixed size; runs of windows with one such minimizer are segments, and all equal
-windows come to one shard. Equal segments are one, with their smallest document id. Each shard builds a compressed FM-index of its
-segments (Burrows-Wheeler transform in a wavelet matrix of packed bits) and streams the segments through it: backward search gives
-every window's interval, and the least document id in it says which documents repeat an earlier one. Minimizers of very many
-documents are replaced by the hash of the whole window, so no shard grows with a passage's popularity.
+windows come to one shard. Equal segments of a batch are one row, with all places they stand at. Each shard builds a compressed
+FM-index of its distinct segments (Burrows-Wheeler transform in a wavelet matrix of packed bits) and streams the segments through
+it: backward search gives every window's interval, and the least document id in it says which places repeat an earlier document.
+Windows with a minimizer of very many documents are dealt out one by one, by a hash of the whole window, and send only the least id
+of a batch; their least ids are joined with the places, so no shard grows with a passage's popularity.
 """
 
 from __future__ import annotations
@@ -15,18 +16,17 @@ import re
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isthmus.llm.common import WORD_IDS, Scratch, census, grams, in_bitmap, partitions, raw, read
+from isthmus.llm.common import Scratch, census, distinct, grams, in_bitmap, partitions, raw, read, word_hashes
 from isthmus.llm.ngram_join import plain
 
 WINDOW, GRAM = 13, 4
 #: Documents above which a minimizer's windows are dealt out one by one.
 POPULAR = 20_000
 #: Words of an FM-index, but for one minimizer's segments, which stay together.
-SHARD_WORDS = 400_000
+SHARD_WORDS = 300_000
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -124,6 +124,8 @@ def least_in(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarra
 
 def minimizers(ids: np.ndarray, window: int) -> np.ndarray:
     """The least hash of the runs of GRAM words in each window."""
+    if ids is None:
+        return np.empty(0, np.uint64)
     g = grams(ids, min(GRAM, window))
     k = window - min(GRAM, window) + 1
     if len(g) < k:
@@ -136,92 +138,147 @@ def minimizers(ids: np.ndarray, window: int) -> np.ndarray:
     return out
 
 
-def cut(docs: DataFrame, window: int) -> DataFrame:
-    """Segments of docs (doc_id, text, row): doc_id, row, at (its first word), sid, shard key and, for the first of its kind in a
-    batch, the words as 64-bit hashes."""
+#: Bytes of a word's hash that are sent; what is lost is made good by equal minimizers of full hashes.
+SENT = 5
 
-    def values(batch: pa.RecordBatch):
-        for t in raw(batch.column(1)):
-            if t:
-                yield np.unique(minimizers(WORD_IDS.of(t.split()), window))
 
-    shared, popular = census(docs, values, (1, POPULAR))
-    sent = docs.sparkSession.sparkContext.broadcast((shared, popular))  # two bitmaps of fixed size
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
-    names = ["doc_id", "row", "at", "sid", "shard", "words"]
+def narrow(ids: np.ndarray) -> bytes:
+    return ids.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 8 - SENT :].tobytes()
+
+
+def widen(words: bytes) -> np.ndarray:
+    x = np.zeros((len(words) // SENT, 8), np.uint8)
+    x[:, 8 - SENT :] = np.frombuffer(words, np.uint8).reshape(-1, SENT)
+    return x.view("<u8").ravel().astype(np.uint64)
+
+
+def segments_of(ids: np.ndarray, key: np.ndarray, fine: np.ndarray, window: int):
+    """(first word, words) of the runs of windows of one key, where fine."""
+    change = key[1:] != key[:-1]
+    begins = np.flatnonzero(fine & np.r_[True, change | ~fine[:-1]])
+    ends = np.flatnonzero(fine & np.r_[change | ~fine[1:], True])
+    for i, j in zip(begins.tolist(), ends.tolist(), strict=True):
+        yield i, narrow(ids[i : j + window])
+
+
+def cut(docs: DataFrame, window: int, maps: object) -> DataFrame:
+    """Segments of docs (doc_id, text, row), equal ones of a batch in one row: shard key, words, least doc_id, and places (doc_id,
+    row, first word) as bytes; no places for windows of popular minimizers."""
+    place = np.dtype([("doc", "<i8"), ("row", "<i8"), ("at", "<i4")])
 
     def run(batches):
-        two, many = (np.frombuffer(b, np.uint8) for b in sent.value)
-        for batch in batches:
-            seen, cols = set(), [[] for _ in kinds]
-            for d, t, row in zip(batch.column(0).to_pylist(), raw(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-                if not t:
-                    continue
-                ids = WORD_IDS.of(t.split())
-                key = minimizers(ids, window)
-                if not len(key):
-                    continue
-                fine, hot = in_bitmap(two, key), in_bitmap(many, key)
-                if not fine.any():
-                    continue
-                if hot.any():
-                    key = np.where(hot, grams(ids, window), key)
-                begins = np.flatnonzero(fine & np.r_[True, (key[1:] != key[:-1]) | ~fine[:-1]])
-                ends = np.flatnonzero(fine & np.r_[(key[1:] != key[:-1]) | ~fine[1:], True])
-                for i, j in zip(begins.tolist(), ends.tolist(), strict=True):
-                    words = ids[i : j + window].tobytes()
-                    sid = int(np.uint64(xxhash.xxh3_64_intdigest(words)).view(np.int64))
-                    new = sid not in seen
-                    seen.add(sid)
-                    for c, v in zip(cols, (d, row, i, sid, int(key[i].view(np.int64)), words if new else None), strict=True):
-                        c.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
-
-    return docs.mapInArrow(run, "doc_id long, row long, at int, sid long, shard long, words binary")
+        two, many = (np.frombuffer(b, np.uint8) for b in maps.value)
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 2000):
+                batch = whole.slice(lo, 2000)
+                known: dict[tuple[int, bytes], list] = {}
+                for d, ids, row in zip(batch.column(0).to_pylist(), word_hashes(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+                    key = minimizers(ids, window)
+                    if not len(key) or not (fine := in_bitmap(two, key)).any():
+                        continue
+                    hot = fine & in_bitmap(many, key)
+                    for i, words in segments_of(ids, key, fine & ~hot, window):
+                        known.setdefault((int(key[i]), words), []).append((d, row, i))
+                    if hot.any():
+                        each = grams(ids, window)
+                        for i in np.flatnonzero(hot).tolist():
+                            least = known.setdefault((int(each[i]), narrow(ids[i : i + window])), [d])
+                            least[0] = min(least[0], d)
+                if known:
+                    rows = [(int(np.uint64(k).view(np.int64)), w, v[0] if isinstance(v[0], int) else min(p[0] for p in v), b"" if isinstance(v[0], int) else np.array(v, place).tobytes()) for (k, w), v in known.items()]
+                    yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.binary(), pa.int64(), pa.binary()))], ["shard", "words", "low", "places"])
+
+    return docs.mapInArrow(run, "shard long, words binary, low long, places binary")
 
 
 def searched(segments: DataFrame, window: int) -> DataFrame:
-    """sid and, for each of its windows, the smallest id of a document that holds it; from distinct segments (sid, shard, words, low)."""
-
-    def index(held: list[tuple]) -> pa.RecordBatch:
-        texts = [np.frombuffer(w, np.uint64) for _, w, _ in held]
+    """From segments: doc_id, row and windows (first words) of the places that repeat an earlier document; and for windows without
+    places their key and the least id."""
+    place = np.dtype([("doc", "<i8"), ("row", "<i8"), ("at", "<i4")])
+    kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int64(), pa.int64())
+
+    def index(held: dict[bytes, list]) -> pa.RecordBatch:
+        texts = [widen(w) for w in held]
+        values = list(held.values())
         fm = FmIndex(texts)
         n = np.array([len(t) - window + 1 for t in texts])
         first = np.repeat(fm.starts, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         low, high = fm.intervals(fm.text, first, window)
-        ids = np.r_[np.array([h[2] for h in held], np.int64), np.iinfo(np.int64).max]
+        ids = np.r_[np.array([v[0] for v in values], np.int64), np.iinfo(np.int64).max]
         mins = least_in(ids[fm.owner[fm.suffixes]], low, high)
-        return pa.RecordBatch.from_arrays([pa.array([h[0] for h in held], pa.int64()), pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)], pa.int32()), pa.array(mins))], ["sid", "mins"])
+        cols: list[list] = [[] for _ in kinds]
+        upto = np.cumsum(n)
+        for v, a, b in zip(values, (upto - n).tolist(), upto.tolist(), strict=True):
+            m = mins[a:b]
+            if not v[2]:
+                row = [None, None, None, v[1], int(m[0])]
+                for c, x in zip(cols, row, strict=True):
+                    c.append(x)
+                continue
+            at = np.frombuffer(b"".join(v[2]), place)
+            for k in np.flatnonzero(at["doc"] > m.min()).tolist():
+                row = [int(at["doc"][k]), int(at["row"][k]), np.flatnonzero(m < at["doc"][k]).astype(np.int32) + at["at"][k], None, None]
+                for c, x in zip(cols, row, strict=True):
+                    c.append(x)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["doc_id", "row", "windows", "key", "low"])
 
     def run(batches):
-        held, size, at = [], 0, None
+        held, size, at = {}, 0, None
         for batch in batches:
-            for sid, shard, words, low in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            for shard, words, low, places in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 if shard != at and size >= SHARD_WORDS:
                     yield index(held)
-                    held, size = [], 0
-                held.append((sid, words, low))
-                size += len(words) // 8
+                    held, size = {}, 0
+                v = held.get(words)
+                if v is None:
+                    held[words] = v = [low, shard, []]
+                    size += len(words) // SENT
+                v[0] = min(v[0], low)
+                if places:
+                    v[2].append(places)
                 at = shard
         if held:
             yield index(held)
 
     n = max(1, partitions(segments.sparkSession))
-    return segments.select("sid", "shard", "words", "low").repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(run, "sid long, mins array<long>")
+    return segments.repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(run, "doc_id long, row long, windows array<int>, key long, low long")
+
+
+def popular_places(docs: DataFrame, window: int, maps: object) -> DataFrame:
+    """doc_id, row, at and key of every window with a popular minimizer."""
+
+    def run(batches):
+        two, many = (np.frombuffer(b, np.uint8) for b in maps.value)
+        for batch in batches:
+            for d, ids, row in zip(batch.column(0).to_pylist(), word_hashes(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+                key = minimizers(ids, window)
+                at = np.flatnonzero(in_bitmap(two, key) & in_bitmap(many, key)) if len(key) else []
+                if len(at):
+                    each = grams(ids, window)[at].view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), d)), pa.array(np.full(len(at), row)), pa.array(at.astype(np.int32)), pa.array(each)], ["doc_id", "row", "at", "key"])
+
+    return docs.mapInArrow(run, "doc_id long, row long, at int, key long")
 
 
 def repeats(docs: DataFrame, window: int, scratch: Scratch) -> DataFrame:
-    """doc_id, row and spans (from, to in words, merged) of the rows of docs (doc_id, text, row) that hold windows which a document
-    of a smaller id holds too. Rows without an id neither give nor lose words."""
+    """doc_id, row and windows (first words) of the rows of docs (doc_id, text, row) that hold windows which a document of a smaller
+    id holds too. Rows without an id neither give nor lose words."""
     if not 1 <= window <= FmIndex.DEPTH:
         raise ValueError(f"window: 1 to {FmIndex.DEPTH} words")
     known = docs.filter("doc_id is not null and text is not null")
-    found = scratch.table(cut(known, window), "segments")
-    distinct = found.groupBy("sid").agg(F.first("shard").alias("shard"), F.first("words", ignorenulls=True).alias("words"), F.min("doc_id").alias("low"))
-    mins = scratch.table(searched(distinct, window), "mins")
-    hits = found.select("doc_id", "row", "at", "sid").join(mins, "sid").filter(F.array_min("mins") < F.col("doc_id")).select("doc_id", "row", "at", "mins")
-    over = F.filter(F.transform("mins", lambda m, i: F.when(m < F.col("doc_id"), F.col("at") + i)), lambda x: x.isNotNull())
-    return hits.select("doc_id", "row", over.alias("w")).groupBy("doc_id", "row").agg(F.flatten(F.collect_set("w")).alias("windows"))
+
+    def values(batch: pa.RecordBatch):
+        for ids in word_hashes(batch.column(1)):
+            yield distinct(minimizers(ids, window))
+
+    maps = docs.sparkSession.sparkContext.broadcast(census(known, values, (1, POPULAR)))  # two bitmaps of fixed size
+    found = scratch.table(searched(cut(known, window, maps), window), "found")
+    hits = found.filter("windows is not null").select("doc_id", "row", "windows")
+    if any(maps.value[1]):
+        lows = found.filter("key is not null").select("key", "low")
+        more = popular_places(known, window, maps).join(lows, "key").filter("low < doc_id").groupBy("doc_id", "row").agg(F.collect_set("at").alias("windows"))
+        hits = hits.unionAll(more)
+    return hits.groupBy("doc_id", "row").agg(F.flatten(F.collect_list("windows")).alias("windows"))
 
 
 def covered(windows: list[int] | None, window: int, n: int) -> np.ndarray:

@@ -3,8 +3,9 @@
 The document by n-gram incidence matrix is reduced before it is multiplied with its transpose:
 
 * Documents with equal shingle sets are one row, a class.
-* A census marks shingles of two or more documents, and frequent ones, in two bitmaps of fixed size. Each class keeps the first
-  n - ceil(t n) + 1 shingles of a common order (rare before frequent, then by hash): classes that link share one of these.
+* A census marks shingles of two or more documents, and more frequent ones, in bitmaps of fixed size. Each class keeps the first
+  n - ceil(t n) + 1 shingles of a common order (from rare to frequent, then by hash): classes that link share one of these, so
+  shingles of one document need not be kept, and passages that many documents share seldom come into it.
 * Blocks of n-grams then give partial overlap counts, summed per pair. First each n-gram's rows are multiplied with one of them
   only, its pivot, so a group of copies gives as many pairs as members; pairs outside the size bounds are discarded, and each
   class's best pair is verified on whole sets. Then n-grams whose classes are still in different components are multiplied in
@@ -26,10 +27,10 @@ from pyspark.sql import functions as F
 from isthmus.llm.common import Scratch, census, connected_components, distinct, grams, in_bitmap, mix, raw, read, word_hashes
 from isthmus.llm.vectors import runs
 
-#: Documents above which a shingle is frequent and comes last in the order.
-FREQUENT = 32
-#: Rows of an n-gram that are multiplied at once, and partners reported per class and foreign component in the first rounds.
-BLOCK, BEST = 2000, 3
+#: Bounds of document counts that order shingles from rare to frequent; those above the first bound are shared.
+FREQUENT = (1, 8, 128)
+#: Rows of an n-gram that are multiplied at once; rounds in which a class reports its nearest foreign partner only.
+BLOCK, NEAREST_ROUNDS = 2000, 3
 
 
 def shingles(ids: np.ndarray | None, k: int) -> np.ndarray:
@@ -75,11 +76,10 @@ def profiles(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                 seen.add(c)
                 yield s
 
-    shared, frequent = census(docs, once, (1, FREQUENT))
-    sent = docs.sparkSession.sparkContext.broadcast((shared, frequent))  # two bitmaps of fixed size
+    sent = docs.sparkSession.sparkContext.broadcast(census(docs, once, FREQUENT))  # bitmaps of fixed size
 
     def run(batches):
-        two, many = (np.frombuffer(b, np.uint8) for b in sent.value)
+        maps = [np.frombuffer(b, np.uint8) for b in sent.value]
         for batch in batches:
             seen, cols = set(), [[] for _ in range(4)]
             for ids in word_hashes(batch.column(1), lower=True):
@@ -89,10 +89,10 @@ def profiles(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                     row[1] = c = class_id(s)
                     if c not in seen:
                         seen.add(c)
-                        hot = in_bitmap(many, s)
-                        first = np.concatenate([s[~hot], s[hot]])[: len(s) - least(len(s), num, den) + 1]
-                        first = first[in_bitmap(two, first)]
-                        if len(first):
+                        marks = [in_bitmap(m, s) for m in maps]
+                        left = len(s) - least(len(s), num, den) + 1 - int((~marks[0]).sum())
+                        if left > 0:
+                            first = s[marks[0]][np.argsort(sum(m[marks[0]].astype(np.int8) for m in marks), kind="stable")[:left]]
                             row[2:] = sketch(s).tobytes(), first.view(np.int64)
                 for col, v in zip(cols, row, strict=True):
                     col.append(v)
@@ -159,43 +159,53 @@ def verified(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int, scra
     return rows.repartition("a", "share").sortWithinPartitions("a", "share", F.col("b").asc_nulls_first()).mapInArrow(run, "a long, b long, ok boolean")
 
 
-def contested(posts: DataFrame, num: int, den: int, best: int | None) -> DataFrame:
-    """(a, b, cut) of classes in different components that an n-gram and the bounds allow, from posts (gram, cid, comp, n, sketch).
-    With best, the nearest of each foreign component only, and cut where others were left for later."""
-    sizes = posts.groupBy("gram").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"), F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").drop("x", "y")
+def contested(posts: DataFrame, sketches: DataFrame, num: int, den: int, nearest: bool) -> DataFrame:
+    """(a, b, cut) of classes in different components that an n-gram and the bounds allow, from posts (gram, cid, comp, n) and
+    sketches (cid, sketch).
+
+    An n-gram's classes outside its largest component look for partners; with nearest, each reports the nearest one only, and cut
+    where others were left for later."""
+    sizes = posts.groupBy("gram").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"), F.min("comp").alias("x"), F.max("comp").alias("y"), F.mode("comp").alias("main")).filter("x <> y").drop("x", "y")
     dealt = posts.join(sizes, "gram").withColumn("mine", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("gram", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "cid", "comp", "n", "sketch")
+    dealt = dealt.select("gram", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "cid", "comp", "main", "n").join(sketches, "cid")
+    dealt = dealt.select("gram", "i", "j", "mine", "cid", "comp", "main", "n", "sketch")
 
     def group(rows: list[tuple]):
-        i, j = rows[0][1], rows[0][2]
-        rows.sort(key=lambda r: r[6])
-        mine, cid, comp, n = (np.array([r[c] for r in rows]) for c in (3, 4, 5, 6))
-        raws = [np.frombuffer(r[7], np.uint64) for r in rows]
+        i, j, main = rows[0][1], rows[0][2], rows[0][6]
+        rows.sort(key=lambda r: (r[7], r[4]))
+        mine, cid, comp, n = (np.array([r[c] for r in rows]) for c in (3, 4, 5, 7))
+        raws = [np.frombuffer(r[8], np.uint64) for r in rows]
         width = np.array([len(r) for r in raws])
-        at = {int(w): np.stack([folded(r, w) if len(r) >= w else np.zeros(w, np.uint64) for r in raws]) for w in np.unique(width)}
-        upto = np.searchsorted(n, (n * den) // num, side="right")
-        for r in range(len(rows)):
-            some = np.arange(r + 1, upto[r])
-            some = some[(comp[some] != comp[r]) & ((mine[some] != mine[r]) if i != j else True)]
+        at: dict[int, np.ndarray] = {}
+        low, high = np.searchsorted(n, least(n, num, den)), np.searchsorted(n, n * den // num, side="right")
+        for r in np.flatnonzero(comp != main).tolist():
+            some = np.arange(low[r], high[r])
+            fine = comp[some] != comp[r]
+            if i != j:
+                fine &= mine[some] != mine[r]
+            if not nearest:
+                fine &= (comp[some] == main) | (some > r)  # from one side, if both look
+            some = some[fine]
             if not len(some):
                 continue
-            m = at[int(width[r])]
-            apart = np.bitwise_count(m[some] ^ m[r]).sum(1)
-            fine = apart * (den + num) <= (den - num) * (n[some] + n[r])
-            some, apart = some[fine], apart[fine]
-            cut = False
-            if best is not None and len(some) > best:
-                order = np.lexsort((apart, comp[some]))
-                c = comp[some][order]
-                rank = np.arange(len(c)) - np.searchsorted(c, c)
-                some, cut = some[order[rank < best]], bool((rank >= best).any())
-            for s in some:
+            apart = np.empty(len(some), np.int64)
+            for w in np.unique(width[some]).tolist():
+                v, here = min(w, int(width[r])), width[some] == w
+                if v not in at:
+                    at[v] = np.stack([folded(x, v) if len(x) >= v else np.zeros(v, np.uint64) for x in raws])
+                apart[here] = np.bitwise_count(at[v][some[here]] ^ at[v][r]).sum(1)
+            near = apart * (den + num) <= (den - num) * (n[some] + n[r])
+            some, apart = some[near], apart[near]
+            cut = nearest and len(some) > 1
+            if cut:
+                some = some[[np.lexsort((cid[some], apart))[0]]]
+            for s in some.tolist():
                 yield min(cid[r], cid[s]), max(cid[r], cid[s]), cut
 
     def run(batches):
         held: list[tuple] = []
         for batch in batches:
-            cols = [batch.column(i).to_pylist() for i in range(8)]
+            cols = [batch.column(i).to_pylist() for i in range(9)]
             out = []
             for row in zip(*cols, strict=True):
                 if held and held[0][:3] != row[:3]:
@@ -222,8 +232,9 @@ def components(docs: DataFrame, k: int, num: int, den: int, scratch: Scratch) ->
     prof = scratch.table(profiles(docs, k, num, den), "profiles")
     reps = prof.filter("prefix is not null").groupBy("cid").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("prefix").alias("prefix"))
     reps = scratch.table(reps, "classes")
-    posts = reps.select("cid", "n", F.explode("prefix").alias("gram"))
-    pivots = posts.groupBy("gram").agg(F.min(F.struct("cid", "n")).alias("p"), F.count("*").alias("m")).filter("m > 1").select("gram", F.col("p.cid").alias("pivot"), F.col("p.n").alias("pn"))
+    posts = reps.select("cid", "n", F.size("prefix").alias("own"), F.explode("prefix").alias("gram"))
+    # a class with most shared shingles has fewest of its own, and is nearest to the others
+    pivots = posts.groupBy("gram").agg(F.max(F.struct("own", "cid", "n")).alias("p"), F.count("*").alias("m")).filter("m > 1").select("gram", F.col("p.cid").alias("pivot"), F.col("p.n").alias("pn"))
     product = posts.join(pivots, "gram").filter(F.col("cid") != F.col("pivot")).filter(F.least("n", "pn") * den >= F.greatest("n", "pn") * num)
     overlaps = product.groupBy("pivot", "cid").agg(F.count("*").alias("overlap"))
     pairs = overlaps.groupBy("cid").agg(F.max(F.struct("overlap", "pivot")).alias("m")).select(F.col("m.pivot").alias("a"), F.col("cid").alias("b"))
@@ -231,9 +242,8 @@ def components(docs: DataFrame, k: int, num: int, den: int, scratch: Scratch) ->
     turn, known = 0, tested
     while True:
         comps = scratch.table(connected_components(known.filter("ok").select("a", "b"), scratch), "components")
-        placed = reps.join(comps, reps.cid == comps.node, "left").select("cid", "n", "sketch", "prefix", F.coalesce("root", "cid").alias("comp"))
-        rows = placed.select("cid", "n", "sketch", "comp", F.explode("prefix").alias("gram"))
-        again = contested(rows, num, den, BEST if turn < 2 else None)
+        placed = reps.join(comps, reps.cid == comps.node, "left").select("cid", "n", F.coalesce("root", "cid").alias("comp"), F.explode("prefix").alias("gram"))
+        again = contested(placed, reps.select("cid", "sketch"), num, den, turn < NEAREST_ROUNDS)
         new = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         again = scratch.table(again.join(new, ["a", "b"], "left_anti"), "contested")
         count, cut = again.agg(F.count("*"), F.max("cut")).first()

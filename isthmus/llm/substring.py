@@ -55,7 +55,7 @@ class FmIndex:
             new[self.suffixes] = np.cumsum(np.r_[0, np.diff(key[self.suffixes]) > 0])
             rank, step = new, 2 * step
         bwt = self.text[self.suffixes - 1]
-        first = np.r_[0, np.cumsum(np.bincount(bwt, minlength=len(self.symbols) + 1))]
+        self.first = first = np.r_[0, np.cumsum(np.bincount(bwt, minlength=len(self.symbols) + 1))]
         self.depth = max(1, int(len(self.symbols)).bit_length())
         self.bits, self.counts, self.zeros = [], [], []
         at, begin, code = bwt, np.zeros(len(self.symbols) + 1, np.int64), np.arange(len(self.symbols) + 1)
@@ -92,12 +92,20 @@ class FmIndex:
         i = np.minimum(np.searchsorted(self.symbols, text), len(self.symbols) - 1)
         return np.where(self.symbols[i] == text, i + 1, 0)
 
-    def intervals(self, coded: np.ndarray, first: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """Intervals of the windows coded[first : first + length]; empty where the index has none."""
-        low, high = np.zeros(len(first), np.int64), np.full(len(first), len(self.text), np.int64)
-        for i in range(length - 1, -1, -1):
-            low, high = self.extend(coded[first + i], low, high)
-        return low, high
+    def repeated(self, coded: np.ndarray, first: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the windows coded[first : first + length], which stand at more than one place of the index, and their intervals. A
+        window is dropped as soon as its interval has one row."""
+        if not len(first):
+            return first, first, first
+        symbol = coded[first + length - 1]
+        low, high = self.first[symbol], np.where(symbol > 0, self.first[symbol + 1], self.first[symbol])
+        alive = np.arange(len(first))
+        for i in range(length - 2, -1, -1):
+            many = high - low > 1
+            alive, low, high = alive[many], low[many], high[many]
+            low, high = self.extend(coded[first[alive] + i], low, high)
+        many = high - low > 1
+        return alive[many], low[many], high[many]
 
     def matching_statistics(self, text: np.ndarray, cap: int) -> np.ndarray:
         """For each place of text the length, up to cap, of the longest run of words ending there that the index holds."""
@@ -152,13 +160,13 @@ def widen(words: bytes) -> np.ndarray:
     return x.view("<u8").ravel().astype(np.uint64)
 
 
-def segments_of(ids: np.ndarray, key: np.ndarray, fine: np.ndarray, window: int):
-    """(first word, words) of the runs of windows of one key, where fine."""
+def segments_of(words: bytes, key: np.ndarray, fine: np.ndarray, window: int):
+    """(first word, words) of the runs of windows of one key, where fine; words as from narrow()."""
     change = key[1:] != key[:-1]
     begins = np.flatnonzero(fine & np.r_[True, change | ~fine[:-1]])
     ends = np.flatnonzero(fine & np.r_[change | ~fine[1:], True])
     for i, j in zip(begins.tolist(), ends.tolist(), strict=True):
-        yield i, narrow(ids[i : j + window])
+        yield i, words[SENT * i : SENT * (j + window)]
 
 
 def cut(docs: DataFrame, window: int, maps: object) -> DataFrame:
@@ -176,13 +184,13 @@ def cut(docs: DataFrame, window: int, maps: object) -> DataFrame:
                     key = minimizers(ids, window)
                     if not len(key) or not (fine := in_bitmap(two, key)).any():
                         continue
-                    hot = fine & in_bitmap(many, key)
-                    for i, words in segments_of(ids, key, fine & ~hot, window):
+                    hot, all_words = fine & in_bitmap(many, key), narrow(ids)
+                    for i, words in segments_of(all_words, key, fine & ~hot, window):
                         known.setdefault((int(key[i]), words), []).append((d, row, i))
                     if hot.any():
                         each = grams(ids, window)
                         for i in np.flatnonzero(hot).tolist():
-                            least = known.setdefault((int(each[i]), narrow(ids[i : i + window])), [d])
+                            least = known.setdefault((int(each[i]), all_words[SENT * i : SENT * (i + window)]), [d])
                             least[0] = min(least[0], d)
                 if known:
                     rows = [(int(np.uint64(k).view(np.int64)), w, v[0] if isinstance(v[0], int) else min(p[0] for p in v), b"" if isinstance(v[0], int) else np.array(v, place).tobytes()) for (k, w), v in known.items()]
@@ -203,9 +211,11 @@ def searched(segments: DataFrame, window: int) -> DataFrame:
         fm = FmIndex(texts)
         n = np.array([len(t) - window + 1 for t in texts])
         first = np.repeat(fm.starts, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        low, high = fm.intervals(fm.text, first, window)
         ids = np.r_[np.array([v[0] for v in values], np.int64), np.iinfo(np.int64).max]
-        mins = least_in(ids[fm.owner[fm.suffixes]], low, high)
+        mins = np.repeat(ids[:-1], n)
+        more, low, high = fm.repeated(fm.text, first, window)
+        if len(more):
+            mins[more] = least_in(ids[fm.owner[fm.suffixes]], low, high)
         cols: list[list] = [[] for _ in kinds]
         upto = np.cumsum(n)
         for v, a, b in zip(values, (upto - n).tolist(), upto.tolist(), strict=True):

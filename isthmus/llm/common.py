@@ -300,15 +300,41 @@ def in_bitmap(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
 # ---------------------------------------------------------------- connected components
 
 
+#: Edges up to which one task joins them: a bound on its memory, not on the input. More take the distributed rounds.
+SMALL_EDGES = 500_000
+
+
+def joined_at_once(batches):
+    """(node, root) of all edges (u, v) of one task, by union-find."""
+    up: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (p := up.setdefault(x, x)) != x:
+            up[x] = x = up[p]
+        return x
+
+    for batch in batches:
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            u, v = root(u), root(v)
+            if u != v:
+                up[max(u, v)] = min(u, v)
+    nodes = list(up)
+    for i in range(0, len(nodes), 10_000):
+        part = nodes[i : i + 10_000]
+        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([root(x) for x in part], pa.int64())], ["node", "root"])
+
+
 def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, root) for every node of edges (a, b): root is the smallest node that links reach.
 
-    Alternating large-star and small-star steps: each replaces edges by edges to the smallest neighbour, so a component of
+    Up to SMALL_EDGES one task joins them. Beyond, alternating large-star and small-star steps: each replaces edges by edges to the smallest neighbour, so a component of
     any size or shape becomes a star in a logarithmic number of rounds. Only minima per node are aggregated; nothing is
     gathered. Nulls and loops are left out.
     """
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct()
     e = scratch.table(e, "edges")
+    if e.count() <= SMALL_EDGES:
+        return e.coalesce(1).mapInArrow(joined_at_once, "node long, root long")
     seen = None
     while True:
         both = e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))

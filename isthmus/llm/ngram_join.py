@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from isthmus.llm.common import Scratch, census, connected_components, distinct, grams, in_bitmap, mix, raw, read, word_hashes
@@ -30,7 +30,7 @@ from isthmus.llm.vectors import runs
 #: Bounds of document counts that order shingles from rare to frequent; those above the first bound are shared.
 FREQUENT = (1, 8, 128)
 #: Rows of an n-gram that are multiplied at once; rounds in which a class reports its nearest foreign partner only.
-BLOCK, NEAREST_ROUNDS = 2000, 3
+BLOCK, NEAREST_ROUNDS = 2000, 1
 
 
 def shingles(ids: np.ndarray | None, k: int) -> np.ndarray:
@@ -129,11 +129,11 @@ def texts_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
 def verified(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int, scratch: Scratch) -> DataFrame:
     """pairs (a, b) with ok: den * overlap >= num * union on the whole sets. A class with many partners is split in shares of
     about BLOCK, each with its own copy of the text."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid"))
     texts = scratch.table(texts_of(docs, wanted, k), "texts")
-    shares = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("shares"))
-    dealt = pairs.join(shares, "a").withColumn("share", F.pmod(F.xxhash64("b"), F.col("shares")).cast("int"))
-    centre = shares.select("a", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(None).cast("long").alias("b"), F.col("a").alias("cid"))
+    shares = F.ceil(F.count("*").over(Window.partitionBy("a")) / F.lit(BLOCK)).cast("int")
+    dealt = pairs.select("a", "b").withColumn("share", F.pmod(F.xxhash64("b"), shares).cast("int"))
+    centre = dealt.select("a", "share").distinct().select("a", "share", F.lit(None).cast("long").alias("b"), F.col("a").alias("cid"))
     # one row per use of a text, so that texts are joined once
     uses = centre.unionAll(dealt.select("a", "share", "b", F.col("b").alias("cid")))
     rows = uses.join(texts, "cid").select("a", "share", "b", "packed")

@@ -1,7 +1,8 @@
 """Token ids by the tokenizers library, and their files of independent zstandard frames (operator 3).
 
-A document's text is cut at white space where the tokenizer's own pre-tokenization always cuts, and the ids of each cut
-are kept per worker: the ids are those of the whole text, for a fraction of the time (tests compare both).
+A document's text is cut at white space where the tokenizer's own pre-tokenization always cuts, and the ids of each cut are kept
+per worker. A new cut of Latin letters is cut on by the tokenizer's pattern, and its library's model encodes the pieces that are new;
+any other cut goes through the whole tokenizer. The ids are those of the whole text, for a fraction of the time (tests compare both).
 
 Shard format, after the public seekable format of zstandard: one frame with checksum per document (ids as little-endian
 unsigned 32-bit), a skippable frame with the document ids, and a skippable frame with the seek table: per frame compressed
@@ -16,9 +17,11 @@ import os
 import re
 import struct
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
+import regex
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -27,9 +30,15 @@ from pyspark.sql import functions as F
 
 from isthmus.llm.common import Scratch, partitions, read, shared_folder, tokenizer_path
 
-CACHE_CUTS = 400_000
+CACHE_CUTS = 700_000
 SKIPPABLE, SEEK_MAGIC = 0x184D2A5E, 0x8F92EAB1
 TWO_SPACES = re.compile(r"\s\s|^\s|\s$")
+# How byte-level vocabularies write bytes that are no printable characters, and their patterns for Latin text.
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_CHARS = {**{b: b for b in _PRINTED}, **{b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}}
+LATIN_END = "\u0250"
+SPACED = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+SPACELESS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
 
 class Encoder:
@@ -43,41 +52,77 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.drops_space = "Removed" in (str(self.tokenizer.pre_tokenizer) or "")
         self.cuts: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        # the shortcut for Latin cuts is taken for the two patterns it knows, and no special string is ever cut out of a text
+        shape = str(self.tokenizer.pre_tokenizer)
+        known = "[\\p{L}]+|[\\p{N}]|" in shape.replace("\\\\", "\\") if self.drops_space else shape == 'ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=True)'
+        self.pattern = (SPACELESS if self.drops_space else SPACED) if known else None
 
     def cut(self, text: str) -> list[str]:
-        """Pieces that the tokenizer would encode one by one: at white space if it drops it; else before single spaces
-        between other characters, since only there its pattern is sure to begin a new match."""
+        """Pieces that the tokenizer would encode one by one: at white space if it drops it; else before single spaces between other
+        characters, since only there its pattern is sure to begin a new match. Those spaces are left out here: every piece but the
+        first has one before it."""
         if self.drops_space:
             return [x for x in text.replace("\n", " ").split(" ") if x]
         parts = text.split(" ")
         if not TWO_SPACES.search(text):
-            return [parts[0], *(" " + p for p in parts[1:])] if text else []
+            return parts if text else []
         out, last = [], ""
         for i, p in enumerate(parts):
-            if i and last and not last[-1].isspace() and p and not p[0].isspace():
-                out.append(" " + p)
-            elif i:
+            if i and (not last or last[-1].isspace() or not p or p[0].isspace()):
                 out[-1] += " " + p
             else:
                 out.append(p)
             last = p
-        return [x for x in out if x]
+        return out
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for text in texts:
-            cuts = self.cut(text)
-            known = self.cuts
-            new = list({c for c in cuts if c not in known})
-            if new:
-                if len(known) + len(new) > CACHE_CUTS:
-                    known.clear()
-                    new = list(set(cuts))
-                for c, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                    known[c] = np.array(e.ids, "<u4").tobytes()
-            out.append(b"".join(map(known.__getitem__, cuts)))
+    def piece(self, piece: str) -> bytes:
+        got = self.pieces.get(piece)
+        if got is None:
+            if len(self.pieces) >= CACHE_CUTS:
+                self.pieces.clear()
+            tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(_BYTE_CHARS))
+            self.pieces[piece] = got = array("I", [t.id for t in tokens]).tobytes()
+        return got
+
+    def learn(self, new: list[str]) -> dict[str, bytes]:
+        out, rest = {}, []
+        for c in new:
+            if self.pattern is not None and max(c, default="") < LATIN_END:
+                out[c] = b"".join(map(self.piece, self.pattern.findall(c.lower() if self.drops_space else " " + c)))
+            else:
+                rest.append(c)
+        if rest:
+            whole = rest if self.drops_space else [" " + c for c in rest]
+            for c, e in zip(rest, self.tokenizer.encode_batch(whole, add_special_tokens=False), strict=True):
+                out[c] = array("I", e.ids).tobytes()
         return out
 
+    def first(self, cut: str) -> bytes:
+        """Ids of a text's first piece, which has no space before it."""
+        if self.pattern is not None and max(cut, default="") < LATIN_END:
+            return b"".join(map(self.piece, self.pattern.findall(cut)))
+        return array("I", self.tokenizer.encode(cut, add_special_tokens=False).ids).tobytes()
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        cuts = [self.cut(t) for t in texts]
+        got = [list(map(self.cuts.get, cs)) for cs in cuts]
+        new = {c for cs, g in zip(cuts, got, strict=True) if None in g for c, x in zip(cs, g, strict=True) if x is None}
+        if new:
+            if len(self.cuts) + len(new) > CACHE_CUTS:
+                self.cuts.clear()
+            made = self.learn(list(new))
+            self.cuts.update(made)
+            for cs, g in zip(cuts, got, strict=True):
+                if None in g:
+                    g[:] = [made[c] if x is None else x for c, x in zip(cs, g, strict=True)]
+        if not self.drops_space:
+            for cs, g in zip(cuts, got, strict=True):
+                if cs:
+                    g[0] = self.first(cs[0])
+        return [b"".join(g) for g in got]
+
 
 @functools.lru_cache(2)
 def encoder(path: str) -> Encoder:

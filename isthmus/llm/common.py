@@ -285,7 +285,7 @@ def census(docs: DataFrame, hashes_of, over: tuple[int, ...]) -> list[bytes]:
 
     sent = docs.mapInArrow(census_mapper(hashes_of, bits), "bucket int, codes binary, counts binary").repartition("bucket")
     out = [bytearray(2**BITMAP_BITS // 8) for _ in over]
-    for row in sent.mapInArrow(merge, "bucket int, " + ", ".join(f"m{i} binary" for i in range(len(over)))).toLocalIterator():
+    for row in sent.mapInArrow(merge, "bucket int, " + ", ".join(f"m{i} binary" for i in range(len(over)))).collect():  # of fixed size
         for i, m in enumerate(out):
             m[row[0] * width // 8 : (row[0] + 1) * width // 8] = zstandard.decompress(bytes(row[i + 1]))
     return [bytes(m) for m in out]

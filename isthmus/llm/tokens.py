@@ -132,8 +132,8 @@ def encoder(path: str) -> Encoder:
 def encoded(batch: pa.RecordBatch, path: str, end: int):
     """(id, ids with the end id) for each row of (doc_id, text); a null text is empty."""
     tail, enc = struct.pack("<I", end), encoder(path)
-    for i in range(0, batch.num_rows, 64):
-        part = batch.slice(i, 64)
+    for i in range(0, batch.num_rows, 256):
+        part = batch.slice(i, 256)
         texts = [x or "" for x in part.column(1).to_pylist()]
         for d, ids in zip(part.column(0).to_pylist(), enc.ids(texts), strict=True):
             yield d, ids + tail
@@ -148,7 +148,7 @@ def write_token_store(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
     path = tokenizer_path(tokenizer)
 
     def frames(batches):
-        packer = zstandard.ZstdCompressor(level=3, write_checksum=True)
+        packer = zstandard.ZstdCompressor(level=1, write_checksum=True)
         for batch in batches:
             rows = [(d, packer.compress(x), len(x) // 4, xxhash.xxh64_intdigest(x) & 0xFFFFFFFF) for d, x in encoded(batch, path, end_id)]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.binary(), pa.int64(), pa.int64()))], ["doc_id", "frame", "n", "sum"])

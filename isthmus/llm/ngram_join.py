@@ -271,11 +271,12 @@ def representatives(docs: DataFrame, k: int, num: int, den: int, scratch: Scratc
     text hash; of repeated rows one. Rows without a word all stay."""
     columns = docs.columns
     found = components(plain(docs), k, num, den, scratch)
-    stay = found.filter("n_shingles > 0 and doc_id <=> component_id").groupBy("component_id").agg(F.min("row").alias("row")).select(F.col("component_id").alias("_id"), F.col("row").alias("_row"))
-    stay = scratch.table(stay, "stay", keep=True)
-    keyed = docs.withColumn("_h", F.xxhash64(F.col("text").cast("string")))
+    stay = found.filter("n_shingles > 0 and doc_id <=> component_id").groupBy("component_id").agg(F.min("row").alias("__h"))
+    key = lambda c: (F.coalesce(F.col(c).cast("long"), F.lit(0)), F.col(c).isNull())  # noqa: E731  plain columns, so that join and dropDuplicates share one shuffle
+    stay = scratch.table(stay.select("__h", *(k.alias(n) for k, n in zip(key("component_id"), ("__d", "__n"), strict=True))), "stay", keep=True)
     worded = F.coalesce(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    one = keyed.filter(worded).join(stay, F.expr("_h = _row and doc_id <=> _id"), "left_semi").dropDuplicates(["doc_id", "_h"])
+    keyed = docs.filter(worded).withColumns({"__h": F.xxhash64(F.col("text").cast("string")), **dict(zip(("__d", "__n"), key("doc_id"), strict=True))})
+    one = keyed.join(stay, ["__h", "__d", "__n"], "left_semi").dropDuplicates(["__h", "__d", "__n"])
     return one.select(columns).unionAll(docs.filter(~worded))
 
 

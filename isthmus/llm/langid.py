@@ -155,7 +155,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
                 else:
                     pred.append(UNKNOWN)
                     score.append(0.0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(pred), pa.array(score), pa.array([s < floor for s in score])], ["doc_id", "held_out", "lang_pred", "score", "rejected"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array([s < floor for s in score], pa.bool_())], ["doc_id", "held_out", "lang_pred", "score", "rejected"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), (~crc_not_held()).alias("held_out")).mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean")
 

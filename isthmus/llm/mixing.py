@@ -83,13 +83,15 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...], share: float, cap
     """The mix itself, with the columns of docs: each document as often as it is taken whole, and once more, cut after its
     last word taken, if its source's budget ends in it. Documents without a word are not in the mix."""
     columns = docs.columns
-    sized = docs.withColumn("size", n_words(F.col("text")))
-    cut = cuts(scratch.table(sized.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "size"), "sized"), weights, share, cap, scratch)
+    base = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), "source", F.col("text").cast("string").alias("text"))
+    sized = base.withColumn("size", n_words(F.col("text")))
+    cut = cuts(scratch.table(sized.select("doc_id", "source", "size"), "sized"), weights, share, cap, scratch)
     t = with_taken(sized, cut).filter("taken > 0")
     t = t.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.expr("(taken + size - 1) div size"))))
     part = F.col("taken") - (F.col("copy") - 1) * F.col("size")
     words = F.filter(F.split("text", SPACE + "+"), lambda w: w != "")
-    return t.withColumn("text", F.when(part >= F.col("size"), F.col("text")).otherwise(F.array_join(F.slice(words, F.lit(1), F.least(part, F.col("size")).cast("int")), " "))).select(columns)
+    text = F.when(part >= F.col("size"), F.col("text")).otherwise(F.array_join(F.slice(words, F.lit(1), F.least(part, F.col("size")).cast("int")), " "))
+    return t.select(*(text.alias(c) if c == "text" else F.col("doc").getField(c).alias(c) for c in columns))
 
 
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

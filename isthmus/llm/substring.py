@@ -322,7 +322,7 @@ def digests(docs: DataFrame, found: DataFrame, window: int) -> DataFrame:
                     kept = words
                 n.append(len(words))
                 sha.append(hashlib.sha256(b" ".join(kept)).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(lost, pa.int64()), pa.array(sha)], ["doc_id", "n_words", "n_removed", "kept_sha256"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(lost, pa.int64()), pa.array(sha, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     return joined(docs, found).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 

@@ -268,7 +268,7 @@ def score(docs: DataFrame, crf: Crf | None) -> DataFrame:
                     for i in np.unique(doc[m > 0.5]):
                         found[i] = spans(texts[i], m[first[i] : first[i + 1]] > 0.5)
                 kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(p), pa.array((p >= THRESHOLD).astype(np.int32)), pa.array(expect), pa.array(found, kind)], ["doc_id", "held_out", "score", "predicted", "toxic_words", "spans"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(p), pa.array((p >= THRESHOLD).astype(np.int32)), pa.array(np.asarray(expect, float)), pa.array(found, kind)], ["doc_id", "held_out", "score", "predicted", "toxic_words", "spans"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), (~crc_not_held()).alias("held_out")).mapInArrow(run, SCHEMA)
 

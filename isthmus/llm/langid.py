@@ -21,17 +21,17 @@ from isthmus.llm.common import crc_not_held, raw, read
 BUCKETS, DIM = 2**16, 16
 #: Rows of each language in the training sample, and languages at most (the most frequent).
 PER_LANG, MAX_LANGS = 800, 500
-CACHE = 200_000
+CACHE = 400_000
 UNKNOWN = "und"
 
 
 def subwords(word: bytes) -> np.ndarray | None:
-    """Buckets of a word's 1- to 4-grams of letters with word ends, and of the word; None without a letter."""
+    """Buckets of a word's 2- and 3-grams of letters with its ends; None without a letter."""
     w = "".join(c for c in word.decode("utf-8", "replace").lower() if c.isalpha())
     if not w:
         return None
     w = f"<{w[:60]}>" if len(w) <= 60 else f"<{w}>"
-    pieces = [w[i : i + k] for k in (2, 3, 4) for i in range(len(w) - k + 1)] + [w[1:-1][i] for i in range(len(w) - 2)]
+    pieces = [w[i : i + k] for k in (2, 3) for i in range(len(w) - k + 1)]
     return np.array([zlib.crc32(p.encode()) % BUCKETS for p in pieces], np.int64)
 
 

@@ -42,7 +42,7 @@ class Catalog:
     def info(self, name: str) -> TableInfo:
         found = self.side.describe(name)
         if found is None:
-            near = difflib.get_close_matches(name, [k for k, v in self.side.known.items() if v], 1)
+            near = difflib.get_close_matches(name.lower(), [v.name.lower() for v in self.side.known.values() if v], 1)
             raise BridgeError(f"no table {name}" + (f"; did you mean {near[0]}?" if near else ""))
         return found
 

@@ -44,7 +44,7 @@ def matched(df: DataFrame, target: list[RemoteColumn]) -> list[tuple[str, Remote
 def checked(name: str, source: T.DataType, target: RemoteColumn) -> Column:
     """The value as the target holds it, or an error that names the column."""
     c, t = F.col(f"`{name}`"), target.data_type.upper()
-    fail = lambda what: F.raise_error(F.concat(F.lit(f"column {target.name}: {what}: "), c.cast("string")))
+    fail = lambda what: F.raise_error(F.concat(F.lit(f"column {target.name}: {what}: "), F.coalesce(c.cast("string"), F.lit("null"))))
     if isinstance(source, T.StringType):
         v = F.nullif(c, F.lit(""))
         v = F.when(F.octet_length(v) > target.length, fail(f"longer than {target.length} bytes")).otherwise(v) if target.length else v

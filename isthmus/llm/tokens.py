@@ -1,7 +1,7 @@
 """Token ids by the tokenizers library, and their files of independent zstandard frames (operator 3).
 
 A document's text is cut at white space where the tokenizer's own pre-tokenization always cuts, and the ids of each cut are kept
-per worker. A new cut of Latin letters is cut on by the tokenizer's pattern, and its library's model encodes the pieces that are new;
+per worker. A new cut of Latin letters is cut on by the tokenizer's pattern, and its library's model encodes the pieces;
 any other cut goes through the whole tokenizer. The ids are those of the whole text, for a fraction of the time (tests compare both).
 
 Shard format, after the public seekable format of zstandard: one frame with checksum per document (ids as little-endian
@@ -13,11 +13,14 @@ decoder reads a shard as a stream of ids; a reader of some documents opens the t
 from __future__ import annotations
 
 import functools
+import gc
+import itertools
 import os
-import re
+import string
 import struct
 import zlib
 from array import array
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -32,17 +35,33 @@ from isthmus.llm.common import Scratch, partitions, read, shared_folder, tokeniz
 
 CACHE_CUTS = 700_000
 SKIPPABLE, SEEK_MAGIC = 0x184D2A5E, 0x8F92EAB1
-TWO_SPACES = re.compile(r"\s\s|^\s|\s$")
 # How byte-level vocabularies write bytes that are no printable characters, and their patterns for Latin text.
 _PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _BYTE_CHARS = {**{b: b for b in _PRINTED}, **{b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}}
+SHOWN_SPACE = "\u0120"
 LATIN_END = "\u0250"
+MARKS = string.punctuation
 SPACED = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 SPACELESS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
 
+class Kept(dict):
+    """Results of a function by its argument; begins anew when full."""
+
+    def __init__(self, make: Callable[[str], bytes]) -> None:
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key: str) -> bytes:
+        made = self.make(key)
+        if len(self) >= CACHE_CUTS:
+            self.clear()
+        self[key] = made
+        return made
+
+
 class Encoder:
-    """ids(texts): little-endian unsigned 32-bit ids of each whole text."""
+    """ids(text): little-endian unsigned 32-bit ids of a whole text."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -51,8 +70,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.drops_space = "Removed" in (str(self.tokenizer.pre_tokenizer) or "")
-        self.cuts: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.cuts, self.pieces = Kept(self.cut_ids), Kept(self.model_ids)
         self.model = self.tokenizer.model
         # the shortcut for Latin cuts is taken for the two patterns it knows, and no special string is ever cut out of a text
         shape = str(self.tokenizer.pre_tokenizer)
@@ -60,16 +78,19 @@ class Encoder:
         self.pattern = (SPACELESS if self.drops_space else SPACED) if known else None
 
     def cut(self, text: str) -> list[str]:
-        """Pieces that the tokenizer would encode one by one: at white space if it drops it; else before single spaces between other
-        characters, since only there its pattern is sure to begin a new match. Those spaces are left out here: every piece but the
-        first has one before it."""
+        """Pieces that the tokenizer would encode one by one: at white space if it drops it; else before single spaces and line ends
+        between other characters, since only there its pattern is sure to begin a new match. Those spaces are left out here: every
+        piece but the first has one before it, unless it begins with its line end."""
         if self.drops_space:
-            return [x for x in text.replace("\n", " ").split(" ") if x]
-        parts = text.split(" ")
-        if not TWO_SPACES.search(text):
-            return parts if text else []
+            parts = text.replace("\n", " ").split(" ")
+            return [x for x in parts if x] if "" in parts else parts
+        parts = text.replace("\n", " ").split(" ")
+        if parts == text.split():
+            return text.replace("\n", " \n").split(" ") if "\n" in text else parts
+        if not text:
+            return []
         out, last = [], ""
-        for i, p in enumerate(parts):
+        for i, p in enumerate(text.split(" ")):
             if i and (not last or last[-1].isspace() or not p or p[0].isspace()):
                 out[-1] += " " + p
             else:
@@ -77,55 +98,42 @@ class Encoder:
             last = p
         return out
 
-    def piece(self, piece: str) -> bytes:
-        got = self.pieces.get(piece)
-        if got is None:
-            if len(self.pieces) >= CACHE_CUTS:
-                self.pieces.clear()
-            tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(_BYTE_CHARS))
-            self.pieces[piece] = got = array("I", [t.id for t in tokens]).tobytes()
-        return got
-
-    def learn(self, new: list[str]) -> dict[str, bytes]:
-        out, rest = {}, []
-        for c in new:
-            if self.pattern is not None and max(c, default="") < LATIN_END:
-                out[c] = b"".join(map(self.piece, self.pattern.findall(c.lower() if self.drops_space else " " + c)))
-            else:
-                rest.append(c)
-        if rest:
-            whole = rest if self.drops_space else [" " + c for c in rest]
-            for c, e in zip(rest, self.tokenizer.encode_batch(whole, add_special_tokens=False), strict=True):
-                out[c] = array("I", e.ids).tobytes()
-        return out
+    def model_ids(self, piece: str) -> bytes:
+        """Ids of a piece that the pattern leaves whole."""
+        shown = piece.replace(" ", SHOWN_SPACE) if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(_BYTE_CHARS)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+    def cut_ids(self, c: str) -> bytes:
+        """Ids of a cut. Most are a word, or a word and marks after it: the pattern leaves both whole."""
+        drops = self.drops_space
+        if self.pattern is None or not (c.isascii() or max(c, default="") < LATIN_END):
+            return array("I", self.tokenizer.encode(c if drops or c[:1] == "\n" else " " + c, add_special_tokens=False).ids).tobytes()
+        low = c.lower() if drops else c
+        word = low.rstrip(MARKS)
+        if word.isalpha():
+            if word != c:
+                return self.cuts[word] + self.pieces[low[len(word) :]] if word != low else self.cuts[word]
+            return self.model_ids(word if drops else " " + word)
+        if c[:1] == "\n" and not drops:
+            return self.pieces["\n"] + self.first(c[1:])
+        return b"".join(map(self.pieces.__getitem__, self.pattern.findall(low if drops else " " + c)))
 
     def first(self, cut: str) -> bytes:
-        """Ids of a text's first piece, which has no space before it."""
+        """Ids of a text's or line's first piece, which has no space before it."""
         if self.pattern is not None and max(cut, default="") < LATIN_END:
-            return b"".join(map(self.piece, self.pattern.findall(cut)))
+            return b"".join(map(self.pieces.__getitem__, self.pattern.findall(cut)))
         return array("I", self.tokenizer.encode(cut, add_special_tokens=False).ids).tobytes()
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        cuts = [self.cut(t) for t in texts]
-        got = [list(map(self.cuts.get, cs)) for cs in cuts]
-        new = {c for cs, g in zip(cuts, got, strict=True) if None in g for c, x in zip(cs, g, strict=True) if x is None}
-        if new:
-            if len(self.cuts) + len(new) > CACHE_CUTS:
-                self.cuts.clear()
-            made = self.learn(list(new))
-            self.cuts.update(made)
-            for cs, g in zip(cuts, got, strict=True):
-                if None in g:
-                    g[:] = [made[c] if x is None else x for c, x in zip(cs, g, strict=True)]
-        if not self.drops_space:
-            for cs, g in zip(cuts, got, strict=True):
-                if cs:
-                    g[0] = self.first(cs[0])
-        return [b"".join(g) for g in got]
+    def ids(self, text: str) -> bytes:
+        cuts = self.cut(text)
+        if self.drops_space or not cuts:
+            return b"".join(map(self.cuts.__getitem__, cuts))
+        return self.first(cuts[0]) + b"".join(map(self.cuts.__getitem__, itertools.islice(cuts, 1, None)))
 
 
 @functools.lru_cache(2)
 def encoder(path: str) -> Encoder:
+    gc.set_threshold(50_000, 20, 100)  # what is kept here has no cycles, and walking it again and again costs a tenth of the time
     return Encoder(path)
 
 
@@ -134,9 +142,8 @@ def encoded(batch: pa.RecordBatch, path: str, end: int):
     tail, enc = struct.pack("<I", end), encoder(path)
     for i in range(0, batch.num_rows, 256):
         part = batch.slice(i, 256)
-        texts = [x or "" for x in part.column(1).to_pylist()]
-        for d, ids in zip(part.column(0).to_pylist(), enc.ids(texts), strict=True):
-            yield d, ids + tail
+        for d, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+            yield d, enc.ids(text or "") + tail
 
 
 def write_token_store(docs: DataFrame, folder: str, tokenizer: str, end_id: int, scratch: Scratch) -> DataFrame:

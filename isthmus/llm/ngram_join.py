@@ -266,18 +266,30 @@ def plain(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64(F.col("text").cast("string")).alias("row"))
 
 
+def packed_text(texts: pa.Array) -> pa.Array:
+    packer = zstandard.ZstdCompressor(level=1)
+    return pa.array([None if x is None else packer.compress(x) for x in raw(texts)], pa.binary())
+
+
+def unpacked_text(packed: pa.Array) -> pa.Array:
+    reader = zstandard.ZstdDecompressor()
+    return pa.array([None if x is None else reader.decompress(x) for x in packed.to_pylist()], pa.binary()).view(pa.string())
+
+
 def representatives(docs: DataFrame, k: int, num: int, den: int, scratch: Scratch) -> DataFrame:
     """The rows of docs of which one stays for each component: the smallest id's; of its rows with that id, the one of the smallest
-    text hash; of repeated rows one. Rows without a word all stay."""
+    text hash; of repeated rows one. Rows without a word all stay. Texts go through the one shuffle packed, and come out as they were."""
     columns = docs.columns
     found = components(plain(docs), k, num, den, scratch)
     stay = found.filter("n_shingles > 0 and doc_id <=> component_id").groupBy("component_id").agg(F.min("row").alias("__h"))
     key = lambda c: (F.coalesce(F.col(c).cast("long"), F.lit(0)), F.col(c).isNull())  # noqa: E731  plain columns, so that join and dropDuplicates share one shuffle
     stay = scratch.table(stay.select("__h", *(k.alias(n) for k, n in zip(key("component_id"), ("__d", "__n"), strict=True))), "stay", keep=True)
     worded = F.coalesce(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    keyed = docs.filter(worded).withColumns({"__h": F.xxhash64(F.col("text").cast("string")), **dict(zip(("__d", "__n"), key("doc_id"), strict=True))})
+    # not deterministic for the optimizer, which would else move the join below the packing
+    pack, unpack = F.arrow_udf(packed_text, "binary").asNondeterministic(), F.arrow_udf(unpacked_text, "string")
+    keyed = docs.filter(worded).withColumns({"__h": F.xxhash64(F.col("text").cast("string")), **dict(zip(("__d", "__n"), key("doc_id"), strict=True)), "text": pack(F.col("text").cast("string"))})
     one = keyed.join(stay, ["__h", "__d", "__n"], "left_semi").dropDuplicates(["__h", "__d", "__n"])
-    return one.select(columns).unionAll(docs.filter(~worded))
+    return one.withColumn("text", unpack("text")).select(columns).unionAll(docs.filter(~worded))
 
 
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,8 +4,9 @@ One pass over the tags builds the tree of block elements; inline tags only add t
 whose name, role or class says that they are no article (menus, page headers and footers, sidebars, notices, adverts, forms, scripts,
 reader comments) are left out of the tree. Every node has characters C, tags T, and of them those in links, LC and LT; its composite
 density is C / T, adjusted for links against the body's share of links (Sun, Song and Liao, 2011). The subtree whose children's
-densities have the greatest sum is the article. The least density on its path up to the body is the threshold: headings beside that
-path and at least as dense join the article, and lists of links inside the subtree below it leave.
+densities have the greatest sum is the article, or the outermost article or main element around it. The least density on its path up to
+the body is the threshold: every other part of the page that is at least as dense joins the article, with the sparser text blocks
+beside it under one parent and headings before the article, and lists of links below it leave.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ SAYS_NOT = frozenset(
     "copyright legal disclaimer tags toc hidden complementary contentinfo".split()
 )
 SAYS_YES = frozenset("article content main body text story post entry".split())
+TEXT = frozenset("p h1 h2 h3 h4 h5 h6 hgroup ul ol li dl dt dd pre listing blockquote figure".split())
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "tbody": ("tr", "td", "th", "tbody", "thead"), "tfoot": ("tr", "td", "th", "tbody", "thead")}
 FENCE = {"li": ("ul", "ol", "menu", "dir"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",), "tbody": ("table",), "tfoot": ("table",)}
 
@@ -234,6 +236,39 @@ class _Cells:
         return next(self.it)
 
 
+def prune(order: list[Node], path: list[Node], floor: float) -> None:
+    """Leaves in the tree the article (the first of path, which leads up to the body), headings beside the path, and every other part
+    that reaches the threshold. Where text blocks are taken, the sparser ones of the same parent belong to them."""
+    best, above = path[0], {id(x): inner for inner, x in zip(path, path[1:], strict=False)}
+    whole: set[int] = set()
+    for x in reversed(order):  # parents first
+        if x is best or id(x.up) in whole or id(x) not in above and x.density >= floor and x.density > 0:
+            whole.add(id(x))
+    holds = set(whole)
+    for x in order:
+        if id(x) in whole:
+            continue
+        inner = [i for i in x.items if not isinstance(i, str)]
+        own = sum(len(i) - i.count(" ") for i in x.items if isinstance(i, str) and not i.isspace())
+        said = own > 0 and own / max(1, x.t - sum(i.t for i in inner)) >= floor > 0
+        at = [k for k, i in enumerate(x.items) if (said and not i.isspace() if isinstance(i, str) else id(i) in holds)]
+        if not at:
+            continue
+        taken = set(at)
+        if said or any(id(i) in holds and (i.tag in TEXT or i.tag == "section" and x.up or i.tag == "div" and all(isinstance(j, str) for j in i.items)) for i in inner):
+            taken.update(range(at[0], at[-1] + 1))
+            taken.update(k for k, i in enumerate(x.items) if isinstance(i, str) or i.tag in TEXT or i.tag == "table")
+        if id(x) in above:
+            for k, i in enumerate(x.items):
+                if i is above[id(x)]:
+                    break
+                if not isinstance(i, str) and i.tag in ("h1", "hgroup", "header") and i.density >= min(floor, 1.0):
+                    taken.add(k)
+        x.items = [i for k, i in enumerate(x.items) if k in taken]
+        x.links = 0  # what it holds was taken, so it is no list of links
+        holds.add(id(x))
+
+
 def main_text(page: str | None) -> str:
     """The article's blocks joined by two \\n; '' for null, empty or textless pages."""
     if not page:
@@ -250,14 +285,11 @@ def main_text(page: str | None) -> str:
     while path[-1].up:
         path.append(path[-1].up)
     floor = min(x.density for x in path)
+    # the outermost article or main is the article, whatever part of it is densest
+    first = max((k for k, x in enumerate(path) if x.tag in ("article", "main")), default=0)
+    prune(order, path[first:], floor)
     out: list[str] = []
-    for inner, outer in reversed(list(zip(path, path[1:], strict=False))):
-        for item in outer.items:
-            if item is inner:
-                break
-            if not isinstance(item, str) and item.tag in ("h1", "hgroup", "header") and item.density >= min(floor, 1.0):
-                blocks(item, floor, out)
-    blocks(best, floor, out)
+    blocks(root, floor, out)
     return "\n\n".join(out)
 
 

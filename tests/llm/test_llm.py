@@ -261,3 +261,28 @@ def test_pipeline_runs_on_odd_rows(spark, docs, tmp_path):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert rows and all(r.length <= 2048 for r in rows)
+
+
+@pytest.mark.parametrize("outer", ["<article>", "<main><div>", '<div id="x1">', "<div><div>", ""])
+def test_pages_keep_all_parts_of_the_article(outer):
+    def p(name, size=250):
+        return f"{name} " + "abcd " * (size // 4 - 2)
+
+    def text(*blocks):
+        return "\n\n".join(" ".join(b.split()) for b in blocks)
+
+    ps, lis, short = [p(f"p{i}") for i in range(5)], [p(f"l{i}", 200) for i in range(10)], "Short one."
+    nav = "<nav><a href=a>x</a> <a href=b>y</a></nav>"
+    page = f"<body>{nav}{outer}<h1>Head</h1>" + "".join(f"<p>{x}</p>" for x in ps) + "<ul>" + "".join(f"<li>{x}</li>" for x in lis) + f"</ul><p>{short}</p>"
+    assert main_text(page) == text("Head", *ps, *lis, short)
+    one, two = [p(f"a{i}") for i in range(10)], [p(f"b{i}") for i in range(7)]
+    parts = ["".join(f"<p>{x}</p>" for x in xs) for xs in (one, [*two, short])]
+    assert main_text(f"<body>{nav}{outer}<h1>Head</h1><section>{parts[0]}</section><section><h2>Sub</h2>{parts[1]}</section>") == text("Head", *one, "Sub", *two, short)
+    assert main_text(f"<body>{nav}{outer}<h1>Head</h1><div>{parts[0]}</div><div><h2>Sub</h2>{parts[1]}</div>") == text("Head", *one, "Sub", *two, short)
+    assert main_text(f"<body>{nav}{outer}<p>{short}</p><p>{ps[0]}</p>bare {ps[1]}<blockquote>{parts[0]}</blockquote><p>{ps[2]}</p>") == text(short, ps[0], f"bare {ps[1]}", *one, ps[2])
+
+
+def test_pages_leave_sparse_parts_beside_the_article():
+    p = "<p>" + "abcd " * 60 + "</p>"
+    page = f"<body><div><div>Tagline</div><div>{p * 6}</div><div><span>All</span> <b>rights</b> <i>reserved</i></div></div>"
+    assert main_text(page) == "\n\n".join([" ".join(["abcd"] * 60)] * 6)

@@ -244,14 +244,17 @@ def components(docs: DataFrame, k: int, num: int, den: int, scratch: Scratch) ->
         comps = scratch.table(connected_components(known.filter("ok").select("a", "b"), scratch), "components")
         placed = reps.join(comps, reps.cid == comps.node, "left").select("cid", "n", F.coalesce("root", "cid").alias("comp"), F.explode("prefix").alias("gram"))
         again = contested(placed, reps.select("cid", "sketch"), num, den, turn < NEAREST_ROUNDS)
-        new = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        again = scratch.table(again.join(new, ["a", "b"], "left_anti"), "contested")
-        count, cut = again.agg(F.count("*"), F.max("cut")).first()
+        seen = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.lit(True).alias("seen")).distinct()
+        again = scratch.table(again.join(seen, ["a", "b"], "left"), "contested")
+        # a nearest partner tested before still hides the others of its class, so its cut counts
+        count, cut = again.agg(F.count_if(F.col("seen").isNull()), F.max("cut")).first()
+        turn += 1
         if not count:
+            if cut:
+                continue
             break
-        more = scratch.table(verified(docs, again.select("a", "b"), k, num, den, scratch), "tested")
+        more = scratch.table(verified(docs, again.filter("seen is null").select("a", "b"), k, num, den, scratch), "tested")
         known = known.unionAll(more)
-        turn += 1
         if not cut:  # every pair that could join two components has been tested
             comps = scratch.table(connected_components(known.filter("ok").select("a", "b"), scratch), "components")
             break

@@ -179,6 +179,27 @@ def test_ngram_join_is_exact(spark, docs, monkeypatch, k, num, small):
     assert sorted(r.doc_id for r in kept if r.text and r.text.split()) == sorted({c for _, n, c in want if n and c is not None})
 
 
+def test_ngram_join_looks_past_a_nearest_partner_that_failed(spark):
+    """Parities of x and p differ least, but only x and q link; p is the pivot, so x-p and q-p are tested (and fail) first."""
+    import pyarrow as pa
+
+    words = [f"w{i}" for i in range(20_000)]
+    hashed = [int(ngram_join.shingles(h, 1)[0]) for h in common.word_hashes(pa.array(words), lower=True)]
+    low = [w for w, h in zip(words, hashed, strict=True) if h < 2**62]
+    bit = {b: [w for w, h in zip(words, hashed, strict=True) if h >= 2**63 and h % 64 == b] for b in range(9)}
+    core, a, b = low[:50], [bit[i][0] for i in range(5)], [bit[i][1] for i in range(5)]
+    x = core + a + [bit[5][0]]
+    p = core + b + [bit[5][1], bit[6][1]]
+    q = core + a + [bit[6][0], bit[7][0], bit[8][0]]
+    other = [f"z{i}" for i in range(500)] + b + p[-2:]  # makes all of p shared
+    rows = [(i, " ".join(d)) for i, d in enumerate((x, p, q, other))]
+    with Scratch(spark, "t") as s:
+        got = ngram_join.components(ngram_join.plain(spark.createDataFrame(rows, "doc_id long, text string")), 1, 85, 100, s).select("doc_id", "n_shingles", "component_id").collect()
+    want = brute_components(rows, 1, 85, 100)
+    assert [c for _, _, c in want] == [0, 1, 0, 3]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 @pytest.mark.parametrize("popular", [1, 20_000])
 def test_substring_dedup_is_exact(spark, docs, monkeypatch, popular):
     monkeypatch.setattr(substring, "POPULAR", popular)

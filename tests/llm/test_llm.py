@@ -244,6 +244,29 @@ def test_vectors(spark):
     assert all(got[i].n_links == 0 and got[i].kept for i in range(900, 906)) and got[60].component_id == 0
 
 
+def test_vectors_in_a_cone(spark):
+    """A third of all vectors within a cone of mutual cosine 0.75, and pairs at cosine 0.91 planted everywhere."""
+    g, dim, n, cos = np.random.default_rng(5), 64, 9000, 0.91
+    turn = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    centre = turn(g.standard_normal((1, dim)))
+    u = turn(g.standard_normal((n, dim)))
+    off = u[: n // 3] - (u[: n // 3] @ centre.T) * centre
+    u[: n // 3] = np.sqrt(0.75) * centre + 0.5 * turn(off)
+    picked = g.choice(n // 3, 400, replace=False)
+    side = g.standard_normal((400, dim))
+    side = turn(side - (side * u[picked]).sum(1, keepdims=True) * u[picked])
+    v = np.concatenate([u, cos * u[picked] + np.sqrt(1 - cos**2) * side])
+    with Scratch(spark, "t") as s:
+        got = {r.vec_id: r.component_id for r in vectors.near_duplicates(spark.createDataFrame([(i, x) for i, x in enumerate(v.tolist())], "vec_id long, embedding array<double>"), 0.9, s).collect()}
+    assert np.mean([got[n + i] == got[int(p)] for i, p in enumerate(picked)]) >= 0.99
+
+
+def test_passes_follow_crowding():
+    even, cone = np.zeros(65), np.zeros(65)
+    even[10], cone[[10, 28]] = 1, (2, 1)
+    assert vectors.passes_for(even, 0.9) < 30 < 100 < vectors.passes_for(cone, 0.9)
+
+
 def test_language_and_toxicity(spark):
     d = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))

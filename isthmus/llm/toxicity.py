@@ -1,10 +1,14 @@
 """Toxicity by a linear-chain conditional random field (operator 2).
 
 Labels mark documents, so tokens are labelled first: a greedy cover finds the few words and beginnings of words, rare in clean
-training documents, that explain the toxic ones; tokens of toxic documents that match them are toxic. A two-state chain per sentence is then trained on
-these labelled tokens by gradient ascent on its likelihood, with features of the word, its prefixes and suffix, and both neighbours.
-Forward-backward marginals give each word a probability; a logistic function of their sum and their maximum, fitted on documents
-that the chain was not trained on, gives the document's score, and words above one half its offending offsets.
+training documents, that explain the toxic ones; tokens of toxic documents that match them are toxic. A two-state chain per sentence
+(or CHAIN words of a longer one) is then trained on these labelled tokens by gradient ascent on its likelihood, with features of the
+word, its prefixes and suffix, and both neighbours. Forward-backward marginals give each word a probability; a logistic function of their
+sum and their maximum, fitted on documents that the chain was not trained on, gives the document's score, and words above one half its
+offending offsets.
+
+Null and empty texts have the score of a text without words. Without labelled rows of both kinds every score is 0. A document labelled
+twice counts as toxic if it once was; null labels and ids teach nothing. Repeated rows are scored each.
 """
 
 from __future__ import annotations
@@ -20,12 +24,14 @@ from pyspark.sql import functions as F
 
 from isthmus.llm.common import crc_not_held, raw, read
 
-#: Bounds of the training sample: rows of either label.
-N_TOXIC, N_CLEAN = 900, 1800
+#: Bounds of the training sample: rows of either label, and characters of a text that it may hold. The driver gets no more.
+N_TOXIC, N_CLEAN, MAX_CHARS = 900, 1800, 20_000
+#: Words of a chain, and bytes of text scored at once; a sentence over such an end is two.
+CHAIN, STRETCH = 256, 1 << 20
 BUCKETS = 2**18
 CACHE = 200_000
 THRESHOLD = 0.7
-WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+WORD, SPACES = re.compile(rb"[^\x20\x09-\x0D]+"), re.compile(rb"[\x20\x09-\x0D]+")
 EDGE = b".,!?;:\"'()[]{}#*$%&|<>"
 
 
@@ -36,10 +42,21 @@ def features(word: bytes) -> tuple[list[int], int]:
     return [zlib.crc32(x.encode()) % BUCKETS for x in own], zlib.crc32(f"n{w}".encode()) % BUCKETS
 
 
+def ends_sentence(word: bytes) -> bool:
+    return word[-1] in b".!?"
+
+
+def chain_starts(ends: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """True where a chain begins: at the words in ``first``, after a word that ends a sentence, and after every CHAIN words."""
+    starts = np.r_[True, ends[:-1]] if len(ends) else np.empty(0, np.bool_)
+    starts[first] = True
+    at = np.flatnonzero(starts)
+    since = np.arange(len(starts)) - np.repeat(at, np.diff(np.r_[at, len(starts)]))
+    return since % CHAIN == 0
+
+
 def sentence_starts(words: list[bytes]) -> np.ndarray:
-    """True where a chain begins: at the first word and after a word that ends with . ! or ?"""
-    ends = np.fromiter((w[-1] in b".!?" for w in words), np.bool_, len(words))
-    return np.r_[True, ends[:-1]] if len(words) else ends
+    return chain_starts(np.fromiter(map(ends_sentence, words), np.bool_, len(words)), np.empty(0, np.int64))
 
 
 class Chains:
@@ -176,12 +193,14 @@ def keys_of(word: bytes) -> tuple[str, ...]:
 
 
 def train(docs: DataFrame, labels: DataFrame, n_toxic: int = N_TOXIC, n_clean: int = N_CLEAN) -> Crf | None:
-    """None if labelled rows of either kind are missing. A document labelled twice counts as toxic if it once was."""
+    """None if labelled rows of either kind are missing."""
     seen = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & crc_not_held()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     totals = {int(t > 0): n for t, n in seen.groupBy("toxic").count().collect()}
-    order = F.xxhash64("doc_id", F.lit(2))
-    some = seen.filter("toxic > 0").orderBy(order).limit(n_toxic).unionAll(seen.filter("toxic <= 0").orderBy(order).limit(n_clean))
-    rows = docs.join(F.broadcast(some), "doc_id").select("doc_id", "text", (F.col("toxic") > 0).cast("int")).limit(2 * (n_toxic + n_clean)).collect()
+    # twice the rows are drawn, as some texts may be too long; both limits are total orders, so reruns agree
+    drawn = seen.filter("toxic > 0").orderBy(F.xxhash64("doc_id", F.lit(2)), "doc_id").limit(2 * n_toxic).unionAll(seen.filter("toxic <= 0").orderBy(F.xxhash64("doc_id", F.lit(2)), "doc_id").limit(2 * n_clean))
+    fit = docs.filter(F.length("text") <= MAX_CHARS).join(F.broadcast(drawn), "doc_id").select("doc_id", F.col("text").cast("string").alias("text"), (F.col("toxic") > 0).cast("int").alias("toxic"))
+    order = (F.xxhash64("doc_id", "text", F.lit(2)), "doc_id", "text")
+    rows = fit.filter("toxic = 1").orderBy(*order).limit(n_toxic).unionAll(fit.filter("toxic = 0").orderBy(*order).limit(n_clean)).collect()
     rows = sorted(((d, t.encode().split(), y) for d, t, y in rows if t), key=lambda r: (zlib.crc32(str(r[0]).encode()[::-1]), r[0]))
     rows = list({(tuple(r[1]), r[2]): r for r in rows if r[1]}.values())  # copies teach nothing
     toxic = np.array([r[2] for r in rows])
@@ -213,38 +232,86 @@ def train(docs: DataFrame, labels: DataFrame, n_toxic: int = N_TOXIC, n_clean: i
 
 
 class Types(dict):
-    """Row of a word type in a growing table of scores."""
+    """Row of a word type in a growing table: scores, and whether it ends a sentence."""
 
     def __init__(self, crf: Crf) -> None:
         super().__init__()
-        self.crf, self.rows, self.n = crf, np.zeros((1024, 3)), 0
+        self.crf, self.rows, self.n = crf, np.zeros((1024, 4)), 0
 
     def __missing__(self, word: bytes) -> int:
         own, neighbour = features(word)
         if self.n == len(self.rows):
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
         w = self.crf.w
-        self.rows[self.n] = w[0][own].sum() + self.crf.bias, w[1][neighbour], w[2][neighbour]
+        self.rows[self.n] = w[0][own].sum() + self.crf.bias, w[1][neighbour], w[2][neighbour], ends_sentence(word)
         self[word] = self.n
         self.n += 1
         return self.n - 1
 
 
+def stretches(texts: list[bytes]):
+    """Lists of (number, first byte, part) of at most STRETCH bytes together; a longer text comes in parts cut at white space."""
+    some, size = [], 0
+    for i, t in enumerate(texts):
+        at = 0
+        while at < len(t):
+            end = len(t)
+            if end - at > STRETCH:
+                end = max(t.rfind(c, at, at + STRETCH) for c in (b" ", b"\n", b"\t", b"\r", b"\v", b"\f")) + 1
+                if end <= at:  # a longer word is not cut
+                    m = SPACES.search(t, at + STRETCH)
+                    end = m.end() if m else len(t)
+            if some and size + end - at > STRETCH:
+                yield some
+                some, size = [], 0
+            some.append((i, at, t[at:end]))
+            size += end - at
+            at = end
+    if some:
+        yield some
+
+
+def offsets(part: bytes, bad: np.ndarray):
+    """(start, end) of the bad words of a part, in characters."""
+    at = chars = 0
+    for k, w in enumerate(WORD.finditer(part)):
+        if bad[k]:
+            start = chars + len(part[at : w.start()].decode())
+            at, chars = w.end(), start + len(w.group().decode())
+            yield start, chars
+
+
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int, toxic_words double, spans array<struct<start:int,end:int>>"
 
 
 def score(docs: DataFrame, crf: Crf | None) -> DataFrame:
-    """docs (doc_id, text) with score, predicted, the expected number of toxic words and the offending spans as character offsets.
-    Null and empty texts have the score of no word; without a model every score is 0."""
+    """docs (doc_id, text) with score, predicted, the expected number of toxic words and the offending spans as character offsets."""
     sent = docs.sparkSession.sparkContext.broadcast(crf)  # BUCKETS * 3 weights
 
-    def spans(text: bytes, bad: np.ndarray) -> list[dict]:
-        out = []
-        for i, w in enumerate(WORD.finditer(text)):
-            if bad[i]:
-                a = len(text[: w.start()].decode())
-                out.append({"start": a, "end": a + len(w.group().decode())})
-        return out
+    def marks(texts: list[bytes], model: Crf, types: Types):
+        """Per text the expected number of toxic words, the greatest marginal, and the spans."""
+        total, top, found = np.zeros(len(texts)), np.zeros(len(texts)), [[] for _ in texts]
+        for some in stretches(texts):
+            if len(types) > CACHE:
+                types.clear()
+                types.n = 0
+            words = [part.split() for _, _, part in some]
+            size = np.array([len(w) for w in words])
+            ids = np.fromiter((types[w] for ws in words for w in ws), np.int64, int(size.sum()))
+            if not len(ids):
+                continue
+            first = np.cumsum(size) - size
+            starts = chain_starts(types.rows[ids, 3] > 0, first[size > 0])
+            m = Chains(starts).marginals(model.emissions(types.rows, ids, starts), model.trans, model.start)[0]
+            doc = np.repeat([i for i, _, _ in some], size)
+            total += np.bincount(doc, m, len(texts))
+            np.maximum.at(top, doc, m)
+            piece = np.repeat(np.arange(len(some)), size)
+            for k in np.unique(piece[m > 0.5]).tolist():
+                i, at, part = some[k]
+                before = len(texts[i][:at].decode()) if at else 0
+                found[i] += [{"start": before + a, "end": before + b} for a, b in offsets(part, m[first[k] : first[k] + size[k]] > 0.5)]
+        return total, top, found
 
     def run(batches):
         model = sent.value
@@ -252,21 +319,12 @@ def score(docs: DataFrame, crf: Crf | None) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
-                n, texts = batch.num_rows, [t or b"" for t in raw(batch.column(1))]
+                n = batch.num_rows
                 p, expect, found = np.zeros(n), np.zeros(n), [[] for _ in range(n)]
                 if model:
-                    if types.n > CACHE:
-                        types = Types(model)
-                    words = [t.split() for t in texts]
-                    ids = np.fromiter((types[w] for ws in words for w in ws), np.int64)
-                    doc = np.repeat(np.arange(n), [len(w) for w in words])
-                    starts = np.concatenate([sentence_starts(w) for w in words])
-                    m = Chains(starts).marginals(model.emissions(types.rows, ids, starts), model.trans, model.start)[0] if len(ids) else np.zeros(0)
-                    x = document_features(m, doc, n)
-                    p, expect = 1 / (1 + np.exp(-np.clip(x @ model.head, -40, 40))), np.bincount(doc, m, n)
-                    first = np.cumsum([0, *map(len, words)])
-                    for i in np.unique(doc[m > 0.5]):
-                        found[i] = spans(texts[i], m[first[i] : first[i + 1]] > 0.5)
+                    expect, top, found = marks([t or b"" for t in raw(batch.column(1))], model, types)
+                    x = np.stack([np.log1p(expect), top, np.ones(n)], 1)
+                    p = 1 / (1 + np.exp(-np.clip(x @ model.head, -40, 40)))
                 kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(p), pa.array((p >= THRESHOLD).astype(np.int32)), pa.array(np.asarray(expect, float)), pa.array(found, kind)], ["doc_id", "held_out", "score", "predicted", "toxic_words", "spans"])
 
@@ -274,5 +332,6 @@ def score(docs: DataFrame, crf: Crf | None) -> DataFrame:
 
 
 def op2_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, by a model of the labelled rows whose crc32(doc_id) mod 3 is not 1, with the offending spans."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return score(docs, train(docs, read(spark, sf_dir, "labels").select("doc_id", "toxic"))).drop("spans")
+    return score(docs, train(docs, read(spark, sf_dir, "labels").select("doc_id", "toxic")))

@@ -1,12 +1,17 @@
 """Main text of web pages by composite text density (operator 10).
 
 One pass over the tags builds the tree of block elements; inline tags only add to the counts of the block that holds them. Elements
-whose name, role or class says that they are no article (menus, page headers and footers, sidebars, notices, adverts, forms, scripts,
-reader comments) are left out of the tree. Every node has characters C, tags T, and of them those in links, LC and LT; its composite
-density is C / T, adjusted for links against the body's share of links (Sun, Song and Liao, 2011). The subtree whose children's
-densities have the greatest sum is the article, or the outermost article or main element around it. The least density on its path up to
-the body is the threshold: every other part of the page that is at least as dense joins the article, with the sparser text blocks
-beside it under one parent and headings before the article, and lists of links below it leave.
+whose name or role says that they are no article (menus, page headers and footers, sidebars, notices, adverts, forms, scripts, reader
+comments, hidden parts) are left out of the tree; words of a class or id say so too, but inside an article or main element only the plain
+ones do (SAYS_NOT), and words that an article's own parts may have (MAY_NOT) are left to the density. Every node has characters C, tags T,
+and of them those in links, LC and LT; its composite density is C / T, adjusted for links against the body's share of links (Sun, Song
+and Liao, 2011). The subtree whose children's densities have the greatest sum is the article, or the outermost article or main element
+around it, which is kept whole. The least density on its path up to the body is the threshold: every other part of the page that is at
+least as dense joins the article, with the sparser text blocks beside it under one parent and headings before the article; lists of links
+below it leave, but for those inside an article or main element.
+
+Null, empty and textless pages have an empty text. Ties go to the outermost subtree. Repeated rows are extracted each; a null id or url stays
+null. Pages of any length and depth are taken whole, in one pass.
 """
 
 from __future__ import annotations
@@ -28,11 +33,12 @@ BLOCK = frozenset("address article aside blockquote body center dd details dialo
 CLOSES_P = BLOCK - {"body", "html", "option", "optgroup", "legend", "td", "th", "tr", "tbody", "thead", "tfoot", "caption"}
 DROP = frozenset("nav footer aside form button select datalist dialog menu head object audio video canvas map fieldset search".split())
 SAYS_NOT = frozenset(
-    "ad ads advert advertisement adverts advertising adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay "
-    "sidebar side aside rail nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager toolbar topbar masthead footer foot header site-header comment comments commentlist "
-    "discussion disqus replies reply respond share sharing social related recommended recommendations newsletter subscribe subscription signup login search widget widgets "
-    "copyright legal disclaimer tags toc hidden complementary contentinfo".split()
+    "ad ads advert advertisement adverts advertising adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices popup modal overlay "
+    "sidebar aside nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager toolbar topbar masthead footer site-header comment comments commentlist "
+    "discussion disqus replies reply respond share sharing social related recommended recommendations newsletter subscribe subscription signup login search "
+    "hidden complementary contentinfo".split()
 )
+MAY_NOT = frozenset("side rail widget widgets copyright legal disclaimer tags toc alert foot header".split())
 SAYS_YES = frozenset("article content main body text story post entry".split())
 TEXT = frozenset("p h1 h2 h3 h4 h5 h6 hgroup ul ol li dl dt dd pre listing blockquote figure".split())
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "tbody": ("tr", "td", "th", "tbody", "thead"), "tfoot": ("tr", "td", "th", "tbody", "thead")}
@@ -44,24 +50,22 @@ WORDS = re.compile(r"[a-z]+(?:-header)?")
 
 
 class Node:
-    __slots__ = ("tag", "up", "items", "c", "t", "lc", "lt", "drop", "density", "links")
+    __slots__ = ("tag", "up", "items", "c", "t", "lc", "lt", "drop", "density", "links", "inside")
 
     def __init__(self, tag: str, up: Node | None, drop: bool = False) -> None:
         self.tag, self.up, self.drop = tag, up, drop
         self.items: list[Node | str] = []
         self.c = self.t = self.lc = self.lt = self.links = 0
         self.density = 0.0
+        #: Whether it is an article or main element, or within one.
+        self.inside = tag in ("article", "main") or up is not None and up.inside
 
 
 def dropped(tag: str, attrs: str, up: Node) -> bool:
-    if tag in DROP:
+    """Whether an element under ``up`` says by its name or attributes that it is no article."""
+    if tag in DROP or tag == "header" and not up.inside:
         return True
-    inside = False
-    if tag == "header":
-        while up and not inside:
-            inside, up = up.tag in ("article", "main"), up.up
-        return not inside
-    if not attrs or tag in ("body", "html", "article", "main", "p") and "comment" not in attrs:
+    if not attrs or tag in ("body", "html"):
         return False
     said = set()
     for name, a, b, c in ATTRS.findall(attrs):
@@ -69,7 +73,10 @@ def dropped(tag: str, attrs: str, up: Node) -> bool:
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             return True
         said.update(WORDS.findall(value.lower()))
-    return bool(said & SAYS_NOT) and not (said & SAYS_YES and not said & {"comment", "comments", "ad", "ads", "advert", "sidebar", "nav", "menu", "footer"})
+    if tag in ("article", "main"):
+        return bool(said & {"comment", "comments"})
+    not_it = said & SAYS_NOT or not up.inside and said & MAY_NOT
+    return bool(not_it) and not (said & SAYS_YES and not said & {"comment", "comments", "ad", "ads", "advert", "sidebar", "nav", "menu", "footer"})
 
 
 def tree(page: str) -> Node:
@@ -217,7 +224,7 @@ def blocks(x: Node, floor: float, out: list[str]) -> None:
                 line.append(" ")
         elif isinstance(item, str):
             line.append(item)
-        elif not (item.links >= 2 and item.density < floor and item.lc > 0.6 * item.c):
+        elif item.inside or not (item.links >= 2 and item.density < floor and item.lc > 0.6 * item.c):
             if item.tag in ("td", "th"):
                 line.append(" ")
             else:
@@ -269,6 +276,15 @@ def prune(order: list[Node], path: list[Node], floor: float) -> None:
         holds.add(id(x))
 
 
+def densest(order: list[Node]) -> Node:
+    """The node whose children's densities have the greatest sum; of equals the outermost. Children come before parents."""
+    best, most = order[-1], -1.0
+    for x in order:
+        if (s := density_sum(x)) >= most:
+            best, most = x, s
+    return best
+
+
 def main_text(page: str | None) -> str:
     """The article's blocks joined by two \\n; '' for null, empty or textless pages."""
     if not page:
@@ -277,11 +293,7 @@ def main_text(page: str | None) -> str:
     order = measure(root)
     if not root.c:
         return ""
-    best, most = root, -1.0
-    for x in order:
-        if (s := density_sum(x)) >= most:  # parents follow children, so of equals the outermost
-            best, most = x, s
-    path = [best]
+    path = [densest(order)]
     while path[-1].up:
         path.append(path[-1].up)
     floor = min(x.density for x in path)
@@ -305,4 +317,5 @@ def extract(pages: DataFrame) -> DataFrame:
 
 
 def op10_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, from its whole html."""
     return extract(read(spark, sf_dir, "pages"))

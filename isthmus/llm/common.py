@@ -1,7 +1,7 @@
 """What the operators of this subpackage share: words, hashes, scratch tables, the hash census and connected components.
 
 Words are runs of bytes other than the six ASCII white-space characters (0x20, 0x09-0x0D), which is what ``bytes.split``
-cuts at. Nothing here holds state of a corpus on the driver but fixed-size bitmaps.
+cuts at. Nothing here holds state of a corpus on the driver but bitmaps of bounded size.
 """
 
 from __future__ import annotations
@@ -29,7 +29,10 @@ SPACE = r"[\x20\x09-\x0D]"
 class Scratch:
     """Tables written in the folder that spark.checkpoint.dir names, so that every executor can read them again and a lost
     executor costs no more than the stage that was running. ``keep`` marks those that a result still reads; the others are
-    deleted when the block ends."""
+    deleted when the block ends, and the kept ones by drop_kept() once the result has been written."""
+
+    #: Paths of kept tables of ended blocks, oldest first.
+    left: list[str] = []  # noqa: RUF012  of the whole driver
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark, self.root, self.kept = spark, f"{shared_folder(spark)}/isthmus/{name}-{uuid.uuid4().hex[:12]}", set()
@@ -56,14 +59,25 @@ class Scratch:
 
     def __exit__(self, *_: object) -> None:
         for n in self.names:
-            if (path := f"{self.root}/{n}") not in self.kept:
+            if (path := f"{self.root}/{n}") in self.kept:
+                Scratch.left.append(path)
+            else:
                 delete(self.spark, path)
 
 
+def drop_kept(spark: SparkSession, since: int = 0) -> None:
+    """Deletes kept tables, from number ``since`` of Scratch.left on. Results that read them are lost."""
+    while len(Scratch.left) > since:
+        delete(spark, Scratch.left.pop())
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; only where none is set (tests, a laptop) a folder of this machine."""
+    """The cluster's shared folder, as the session's spark.checkpoint.dir names it; where none is set, a folder of this machine if all of
+    Spark runs on it (tests, a laptop), else an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir: set a folder that the driver and all executors share")
         folder = getattr(spark, "_isthmus_folder", None)
         if not folder:
             folder = spark._isthmus_folder = f"file://{tempfile.mkdtemp(prefix='isthmus-')}"
@@ -206,8 +220,9 @@ def grams(ids: np.ndarray, k: int) -> np.ndarray:
 
 # ---------------------------------------------------------------- census of hashes
 
-#: Bits of a bitmap by leading bits of a hash: 16 MB whatever the corpus. A false entry costs time, never a result.
-BITMAP_BITS = 27
+#: A bitmap by leading bits of a hash has so many bits at least and at most: it is sized to be an eighth full at most, as long as it may
+#: grow (16 MB; 128 MB where a caller says so). A false entry costs time, never a result.
+LEAST_BITS, BITMAP_BITS, WIDE_BITS, FILL = 20, 27, 30, 8
 #: Hashes that a task gathers before it sorts and sends them.
 CENSUS_FLUSH = 3_000_000
 COUNT_MAX = 65_535
@@ -250,15 +265,16 @@ def census_mapper(hashes_of, bits: int):
     return run
 
 
-def census(docs: DataFrame, hashes_of, over: tuple[int, ...]) -> list[bytes]:
+def census(docs: DataFrame, hashes_of, over: tuple[int, ...], scratch: Scratch, most: int = BITMAP_BITS, choose=None) -> list[bytes]:
     """For each bound in ``over`` a bitmap of the hashes that more than that many documents hold.
 
-    A hash counts once for each document; a task's count stops at COUNT_MAX, so bounds are below that. The bitmaps have a fixed
-    size and are all that comes to the driver.
+    A hash counts once for each document; a task's count stops at COUNT_MAX, so bounds are below that. Counts are merged bucket by bucket
+    of hashes and written; ``choose`` may pick bounds (a list) by how many hashes are over each, and only their bitmaps come to the driver,
+    each of 2**most bits at most.
     """
     spark = docs.sparkSession
-    bits = min(16, max(6, math.ceil(math.log2(partitions(spark)))))
-    width = 2 ** (BITMAP_BITS - bits)
+    bits = min(16, most - 3, max(6, math.ceil(math.log2(partitions(spark)))))  # a byte of the bitmap for each bucket at least
+    width = 2 ** (most - bits)
 
     def merge(batches):
         codes: dict[int, list] = {}
@@ -269,12 +285,14 @@ def census(docs: DataFrame, hashes_of, over: tuple[int, ...]) -> list[bytes]:
                     codes[b] = [joined(codes[b])]
         for b, parts in codes.items():
             c, n = joined(parts)
-            maps = []
+            counts, maps = [], []
             for bound in over:
+                some = c[n > bound]
                 bit = np.zeros(width, np.uint8)
-                bit[c[n > bound] >> np.uint32(32 - BITMAP_BITS + bits)] = 1
-                maps.append(np.packbits(bit, bitorder="little").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), *(pa.array([zstandard.compress(m, 1)], pa.binary()) for m in maps)], ["bucket", *(f"m{i}" for i in range(len(over)))])
+                bit[some >> np.uint32(32 - most + bits)] = 1
+                counts.append(len(some))
+                maps.append(zstandard.compress(np.packbits(bit, bitorder="little").tobytes(), 1))
+            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), *(pa.array([x], pa.int64()) for x in counts), *(pa.array([x], pa.binary()) for x in maps)], ["bucket", *(f"n{i}" for i in range(len(over))), *(f"m{i}" for i in range(len(over)))])
 
     def joined(parts):
         c, n = np.concatenate([p[0] for p in parts]), np.concatenate([p[1].astype(np.int64) for p in parts])
@@ -284,20 +302,55 @@ def census(docs: DataFrame, hashes_of, over: tuple[int, ...]) -> list[bytes]:
         return c[first], (np.add.reduceat(n, first) if len(first) else n)
 
     sent = docs.mapInArrow(census_mapper(hashes_of, bits), "bucket int, codes binary, counts binary").repartition("bucket")
-    out = [bytearray(2**BITMAP_BITS // 8) for _ in over]
-    for row in sent.mapInArrow(merge, "bucket int, " + ", ".join(f"m{i} binary" for i in range(len(over)))).collect():  # of fixed size
-        for i, m in enumerate(out):
-            m[row[0] * width // 8 : (row[0] + 1) * width // 8] = zstandard.decompress(bytes(row[i + 1]))
-    return [bytes(m) for m in out]
+    kinds = [f"n{i} long" for i in range(len(over))] + [f"m{i} binary" for i in range(len(over))]
+    table = scratch.table(sent.mapInArrow(merge, "bucket int, " + ", ".join(kinds)), "census")
+    counts = dict(zip(over, (n or 0 for n in table.agg(*(F.sum(f"n{i}") for i in range(len(over)))).first()), strict=True))
+    picked = choose(counts) if choose else list(over)
+    sizes = [min(most, max(LEAST_BITS, (FILL * counts[b]).bit_length())) for b in picked]
+    names = [f"m{over.index(b)}" for b in picked]
+
+    def fold(batches):
+        for batch in batches:
+            cols = []
+            for i, size in enumerate(sizes, 1):
+                bits_of = (np.unpackbits(np.frombuffer(zstandard.decompress(m), np.uint8), bitorder="little") for m in batch.column(i).to_pylist())
+                cols.append([zstandard.compress(np.packbits(x.reshape(-1, 2 ** (most - size)).max(1), bitorder="little").tobytes(), 1) for x in bits_of])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.binary()) for c in cols)], ["bucket", *(f"f{i}" for i in range(len(sizes)))])
+
+    out = [np.zeros(2**size // 8, np.uint8) for size in sizes]
+    folded = table.select("bucket", *(F.col(n).alias(f"f{i}") for i, n in enumerate(names))).mapInArrow(fold, "bucket int, " + ", ".join(f"f{i} binary" for i in range(len(sizes))))
+    for row in folded.collect():  # bitmaps of bounded size
+        for m, packed in zip(out, row[1:], strict=True):
+            part = np.frombuffer(zstandard.decompress(bytes(packed)), np.uint8)
+            m[row[0] * len(part) : (row[0] + 1) * len(part)] = part
+    scratch.drop(table)
+    return [m.tobytes() for m in out]
 
 
 def in_bitmap(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
     """Which hashes a bitmap (uint8 array) marks."""
-    at = h >> np.uint64(64 - BITMAP_BITS)
+    at = h >> np.uint64(64 - (8 * len(bitmap)).bit_length() + 1)
     return (bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-# ---------------------------------------------------------------- connected components
+# ---------------------------------------------------------------- joins and connected components
+
+
+def joined_evenly(rows: DataFrame, one: DataFrame, key: str, count: str) -> DataFrame:
+    """rows with the other columns of ``one``, which has a row for each key and the number of rows that meet it (null where none does).
+
+    Keys that more than a task's share of the rows meet are fewer than there are tasks: those are joined by broadcast. Their rows, and
+    rows without a key, go through the shuffle under random keys, so no task gets a key whole. The key must be a long or binary."""
+    columns, values = rows.columns, [c for c in one.columns if c not in (key, count)]
+    mean = (one.agg(F.sum(count)).first()[0] or 0) // max(1, partitions(rows.sparkSession))
+    hot = one.filter(F.col(count) > max(1, mean)).select(key, F.struct(*values).alias("_hot"))
+    salt = F.xxhash64(F.monotonically_increasing_id())
+    salt = F.md5(salt.cast("string").cast("binary")).cast("binary") if dict(rows.dtypes)[key] == "binary" else salt
+    salted = rows.join(F.broadcast(hot), key, "left").withColumn("_key", F.when(F.col("_hot").isNotNull() | F.col(key).isNull(), salt).otherwise(F.col(key)))
+    both = salted.join(one.select(F.col(key).alias("_key"), F.struct(*values).alias("_one")), "_key", "left")
+    told = F.when(F.col("_hot").isNotNull(), F.col("_hot")).when(F.col(key).isNotNull(), F.col("_one"))
+    return both.withColumn("_told", told).select(*columns, *(F.col("_told").getField(v).alias(v) for v in values))
+
 
 
 #: Edges up to which one task joins them: a bound on its memory, not on the input. More take the distributed rounds.

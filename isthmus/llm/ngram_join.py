@@ -1,18 +1,21 @@
 """N-gram Jaccard join (operator 6): an exact similarity join on word shingles, for components and representatives.
 
-The document by n-gram incidence matrix is reduced before it is multiplied with its transpose:
+The document by n-gram incidence matrix is multiplied with its transpose block by block, and the accumulated overlap counts decide:
 
 * Documents with equal shingle sets are one row, a class.
-* A census marks shingles of two or more documents, and more frequent ones, in bitmaps of fixed size. Each class keeps the first
-  n - ceil(t n) + 1 shingles of a common order (from rare to frequent, then by hash): classes that link share one of these, so
-  shingles of one document need not be kept, and passages that many documents share seldom come into it.
-* Blocks of n-grams then give partial overlap counts, summed per pair. First each n-gram's rows are multiplied with one of them
-  only, its pivot, so a group of copies gives as many pairs as members; pairs outside the size bounds are discarded, and each
-  class's best pair is verified on whole sets. Then n-grams whose classes are still in different components are multiplied in
-  full, block by block: a parity sketch of as many bits as the set has shingles bounds the symmetric difference from below, and
-  the pairs that stay are verified too, until none is left that could join two components. No pair is lost.
-
-Sets are known by 64-bit hashes of their shingles, classes by a 64-bit hash of the set.
+* A census orders shingles from rare to frequent by bitmaps of bounded size, whose bounds rise with the corpus so that they stay sparse.
+  Each class keeps the first n - ceil(t n) + 1 shingles of that order (then by hash): classes that link share one of these, so passages
+  that many documents share seldom come into it. Where the bitmap tells, shingles of one document are not kept.
+* The product of these columns says where overlaps can reach the bound at all. First each n-gram's rows are multiplied with one of them
+  only, its pivot, so a group of copies gives as many pairs as members; pairs outside the size bounds are discarded. Then n-grams whose
+  classes are still in different components are multiplied in full, the classes outside its largest component with all others, block by
+  block: a parity sketch of as many bits as the set has shingles bounds the symmetric difference from below.
+* At the places that are left, whole rows are multiplied (a masked product): a block is a row with up to BLOCK partners, its overlap
+  counts accumulate over all shingles, and a pair is a link if den * overlap >= num * (n + m - overlap). This goes on until no place is
+  left that could join two components, so no link is lost.
+
+Rows are sent as packed texts, a fraction of their shingles' size, and hashed again where they are multiplied. Shingles, sets and classes
+are known by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -24,11 +27,10 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from isthmus.llm.common import Scratch, census, connected_components, distinct, grams, in_bitmap, mix, raw, read, word_hashes
-from isthmus.llm.vectors import runs
+from isthmus.llm.common import BITMAP_BITS, FILL, Scratch, census, connected_components, distinct, grams, in_bitmap, joined_evenly, mix, raw, read, word_hashes
 
-#: Bounds of document counts that order shingles from rare to frequent; those above the first bound are shared.
-FREQUENT = (1, 8, 128)
+#: Bounds of document counts that may order shingles from rare to frequent, and how the next bounds follow from the first.
+LADDER, STEPS = tuple(2**i for i in range(16)), (8, 128)
 #: Rows of an n-gram that are multiplied at once; rounds in which a class reports its nearest foreign partner only.
 BLOCK, NEAREST_ROUNDS = 2000, 1
 
@@ -64,7 +66,13 @@ def folded(x: np.ndarray, words: int) -> np.ndarray:
     return x
 
 
-def profiles(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+def bounds(counts: dict[int, int]) -> list[int]:
+    """The least bound of LADDER that leaves a bitmap sparse, and those STEPS times as high."""
+    first = next((b for b in LADDER if FILL * counts[b] <= 2**BITMAP_BITS), LADDER[-1])
+    return [min(first * s, LADDER[-1]) for s in (1, *STEPS)]
+
+
+def profiles(docs: DataFrame, k: int, num: int, den: int, scratch: Scratch) -> DataFrame:
     """Per row of docs (doc_id, text, row): doc_id, row, n, cid; and for the first of its class in a batch that could link at all,
     its sketch and prefix shingles."""
 
@@ -76,7 +84,14 @@ def profiles(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                 seen.add(c)
                 yield s
 
-    sent = docs.sparkSession.sparkContext.broadcast(census(docs, once, FREQUENT))  # bitmaps of fixed size
+    picked: list[int] = []
+
+    def choose(counts: dict[int, int]) -> list[int]:
+        picked.extend(bounds(counts))
+        return picked
+
+    sent = docs.sparkSession.sparkContext.broadcast(census(docs, once, LADDER, scratch, BITMAP_BITS, choose))  # three bitmaps of bounded size
+    alone = picked[0] == 1  # what the first bitmap does not mark is in one document only
 
     def run(batches):
         maps = [np.frombuffer(b, np.uint8) for b in sent.value]
@@ -89,11 +104,12 @@ def profiles(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                     row[1] = c = class_id(s)
                     if c not in seen:
                         seen.add(c)
-                        marks = [in_bitmap(m, s) for m in maps]
-                        left = len(s) - least(len(s), num, den) + 1 - int((~marks[0]).sum())
-                        if left > 0:
-                            first = s[marks[0]][np.argsort(sum(m[marks[0]].astype(np.int8) for m in marks), kind="stable")[:left]]
-                            row[2:] = sketch(s).tobytes(), first.view(np.int64)
+                        rank = sum(in_bitmap(m, s).astype(np.int8) for m in maps)
+                        first = np.argsort(rank, kind="stable")[: len(s) - least(len(s), num, den) + 1]
+                        if alone:
+                            first = first[rank[first] > 0]
+                        if len(first):
+                            row[2:] = sketch(s).tobytes(), s[first].view(np.int64)
                 for col, v in zip(cols, row, strict=True):
                     col.append(v)
             types = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
@@ -102,14 +118,13 @@ def profiles(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, row long, n long, cid long, sketch binary, prefix array<long>")
 
 
-def texts_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """cid and packed text of the classes in wanted (cid), and by chance of a few others: a fixed-size bitmap tells the tasks which.
-    Texts pack better than sets and are hashed again where they are compared."""
+def texts_of(docs: DataFrame, wanted: DataFrame, k: int, scratch: Scratch) -> DataFrame:
+    """cid and packed text of the classes in wanted (cid), and by chance of a few others: a bitmap tells the tasks which."""
 
     def ids(batch: pa.RecordBatch):
         yield mix(batch.column(0).to_numpy().view(np.uint64))
 
-    (bitmap,) = census(wanted.select("cid"), ids, (0,))
+    (bitmap,) = census(wanted.select("cid"), ids, (0,), scratch)
     sent = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches):
@@ -126,11 +141,11 @@ def texts_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(run, "cid long, packed binary").groupBy("cid").agg(F.first("packed").alias("packed"))
 
 
-def verified(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int, scratch: Scratch) -> DataFrame:
-    """pairs (a, b) with ok: den * overlap >= num * union on the whole sets. A class with many partners is split in shares of
-    about BLOCK, each with its own copy of the text."""
+def overlaps(docs: DataFrame, pairs: DataFrame, k: int, scratch: Scratch) -> DataFrame:
+    """The product of whole rows at the places pairs (a, b): a, b, their sizes n and m, and overlap. A class with many partners is split
+    in blocks of about BLOCK, each with its own copy of the row."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid"))
-    texts = scratch.table(texts_of(docs, wanted, k), "texts")
+    texts = scratch.table(texts_of(docs, wanted, k, scratch), "texts")
     shares = F.ceil(F.count("*").over(Window.partitionBy("a")) / F.lit(BLOCK)).cast("int")
     dealt = pairs.select("a", "b").withColumn("share", F.pmod(F.xxhash64("b"), shares).cast("int"))
     centre = dealt.select("a", "share").distinct().select("a", "share", F.lit(None).cast("long").alias("b"), F.col("a").alias("cid"))
@@ -141,7 +156,7 @@ def verified(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int, scra
     def run(batches):
         at, base, reader = None, None, zstandard.ZstdDecompressor()
         for batch in batches:
-            out = []
+            out: list[list[int]] = [[] for _ in range(5)]
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 hashed = word_hashes(pa.array([reader.decompress(x) for x in part.column(3).to_pylist()], pa.large_binary()).cast(pa.large_string()), lower=True)
@@ -152,39 +167,43 @@ def verified(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int, scra
                     elif at == (a, share):
                         i = np.searchsorted(base, s)
                         i[i == len(base)] = 0
-                        both = int((base[i] == s).sum())
-                        out.append((a, b, den * both >= num * (len(base) + len(s) - both)))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()), pa.array([r[2] for r in out], pa.bool_())], ["a", "b", "ok"])
+                        for c, v in zip(out, (a, b, len(base), len(s), int((base[i] == s).sum())), strict=True):
+                            c.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["a", "b", "n", "m", "overlap"])
 
-    return rows.repartition("a", "share").sortWithinPartitions("a", "share", F.col("b").asc_nulls_first()).mapInArrow(run, "a long, b long, ok boolean")
+    return rows.repartition("a", "share").sortWithinPartitions("a", "share", F.col("b").asc_nulls_first()).mapInArrow(run, "a long, b long, n long, m long, overlap long")
+
+
+def linked(counts: DataFrame, num: int, den: int) -> DataFrame:
+    """counts (as from overlaps) with ok: whether the overlap makes the pair a link."""
+    return counts.select("a", "b", "overlap", (F.lit(den) * F.col("overlap") >= F.lit(num) * (F.col("n") + F.col("m") - F.col("overlap"))).alias("ok"))
 
 
 def contested(posts: DataFrame, sketches: DataFrame, num: int, den: int, nearest: bool) -> DataFrame:
     """(a, b, cut) of classes in different components that an n-gram and the bounds allow, from posts (gram, cid, comp, n) and
     sketches (cid, sketch).
 
-    An n-gram's classes outside its largest component look for partners; with nearest, each reports the nearest one only, and cut
-    where others were left for later."""
-    sizes = posts.groupBy("gram").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"), F.min("comp").alias("x"), F.max("comp").alias("y"), F.mode("comp").alias("main")).filter("x <> y").drop("x", "y")
-    dealt = posts.join(sizes, "gram").withColumn("mine", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("gram", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "cid", "comp", "main", "n").join(sketches, "cid")
-    dealt = dealt.select("gram", "i", "j", "mine", "cid", "comp", "main", "n", "sketch")
+    An n-gram's classes outside its largest component look for partners, in blocks of about BLOCK that each meet all rows of the n-gram;
+    with nearest, each reports the nearest one only, and cut where others were left for later."""
+    shares = posts.groupBy("gram", "comp").agg(F.count("*").alias("n"))
+    sizes = shares.groupBy("gram").agg(F.max(F.struct("n", "comp")).alias("most"), F.sum("n").alias("all"), F.count("*").alias("comps")).filter("comps > 1")
+    sizes = sizes.select("gram", F.col("most.comp").alias("main"), F.ceil((F.col("all") - F.col("most.n")) / F.lit(BLOCK)).cast("int").alias("blocks"))
+    dealt = posts.join(sizes, "gram").withColumn("mine", F.when(F.col("comp") != F.col("main"), F.pmod(F.xxhash64("cid"), F.col("blocks"))).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("gram", "block", F.coalesce("mine", F.lit(-1)).alias("mine"), "cid", "comp", "n").join(sketches, "cid").select("gram", "block", "mine", "cid", "comp", "n", "sketch")
 
     def group(rows: list[tuple]):
-        i, j, main = rows[0][1], rows[0][2], rows[0][6]
-        rows.sort(key=lambda r: (r[7], r[4]))
-        mine, cid, comp, n = (np.array([r[c] for r in rows]) for c in (3, 4, 5, 7))
-        raws = [np.frombuffer(r[8], np.uint64) for r in rows]
+        block = rows[0][1]
+        rows.sort(key=lambda r: (r[5], r[3]))
+        mine, cid, comp, n = (np.array([r[c] for r in rows]) for c in (2, 3, 4, 5))
+        raws = [np.frombuffer(r[6], np.uint64) for r in rows]
         width = np.array([len(r) for r in raws])
         at: dict[int, np.ndarray] = {}
         low, high = np.searchsorted(n, least(n, num, den)), np.searchsorted(n, n * den // num, side="right")
-        for r in np.flatnonzero(comp != main).tolist():
+        for r in np.flatnonzero(mine == block).tolist():
             some = np.arange(low[r], high[r])
             fine = comp[some] != comp[r]
-            if i != j:
-                fine &= mine[some] != mine[r]
             if not nearest:
-                fine &= (comp[some] == main) | (some > r)  # from one side, if both look
+                fine &= (mine[some] < 0) | (mine[some] > block) | (mine[some] == block) & (some > r)  # from one side, if both look
             some = some[fine]
             if not len(some):
                 continue
@@ -205,10 +224,10 @@ def contested(posts: DataFrame, sketches: DataFrame, num: int, den: int, nearest
     def run(batches):
         held: list[tuple] = []
         for batch in batches:
-            cols = [batch.column(i).to_pylist() for i in range(9)]
+            cols = [batch.column(i).to_pylist() for i in range(7)]
             out = []
             for row in zip(*cols, strict=True):
-                if held and held[0][:3] != row[:3]:
+                if held and held[0][:2] != row[:2]:
                     out += group(held)
                     held = []
                 held.append(row)
@@ -219,50 +238,56 @@ def contested(posts: DataFrame, sketches: DataFrame, num: int, den: int, nearest
     def told(out: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([int(r[0]) for r in out], pa.int64()), pa.array([int(r[1]) for r in out], pa.int64()), pa.array([bool(r[2]) for r in out], pa.bool_())], ["a", "b", "cut"])
 
-    found = dealt.repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j").mapInArrow(run, "a long, b long, cut boolean")
+    found = dealt.repartition("gram", "block").sortWithinPartitions("gram", "block").mapInArrow(run, "a long, b long, cut boolean")
     return found.groupBy("a", "b").agg(F.max("cut").alias("cut"))
 
 
+def named(prof: DataFrame, comps: DataFrame, scratch: Scratch) -> DataFrame:
+    """doc_id, row, n_shingles and component_id of prof (doc_id, row, n, cid) by comps (node, root)."""
+    classes = prof.filter("cid is not null").groupBy("cid").agg(F.min("doc_id").alias("low"), F.count("*").alias("copies")).join(comps, F.col("cid") == F.col("node"), "left")
+    classes = scratch.table(classes.select("cid", "low", "copies", F.coalesce("root", "cid").alias("root")), "lows")
+    roots = scratch.table(classes.groupBy("root").agg(F.min("low").alias("component_id"), F.count("*").alias("members")), "roots")
+    names = scratch.table(joined_evenly(classes, roots, "root", "members").select("cid", "copies", "component_id"), "names")
+    out = joined_evenly(prof.select("doc_id", "row", "n", "cid"), names, "cid", "copies")
+    return out.select("doc_id", "row", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
 def components(docs: DataFrame, k: int, num: int, den: int, scratch: Scratch) -> DataFrame:
     """doc_id, row, n_shingles and component_id of every row of docs (doc_id, text, row).
 
     Nulls and texts without a word have no shingles, link with nothing and are components of their own. The smallest id of a
     component is its id; rows without an id take part but name no component, unless it has no other (then it is null).
     """
-    prof = scratch.table(profiles(docs, k, num, den), "profiles")
+    prof = scratch.table(profiles(docs, k, num, den, scratch), "profiles")
     reps = prof.filter("prefix is not null").groupBy("cid").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("prefix").alias("prefix"))
     reps = scratch.table(reps, "classes")
     posts = reps.select("cid", "n", F.size("prefix").alias("own"), F.explode("prefix").alias("gram"))
     # a class with most shared shingles has fewest of its own, and is nearest to the others
     pivots = posts.groupBy("gram").agg(F.max(F.struct("own", "cid", "n")).alias("p"), F.count("*").alias("m")).filter("m > 1").select("gram", F.col("p.cid").alias("pivot"), F.col("p.n").alias("pn"))
     product = posts.join(pivots, "gram").filter(F.col("cid") != F.col("pivot")).filter(F.least("n", "pn") * den >= F.greatest("n", "pn") * num)
-    overlaps = product.groupBy("pivot", "cid").agg(F.count("*").alias("overlap"))
-    pairs = overlaps.groupBy("cid").agg(F.max(F.struct("overlap", "pivot")).alias("m")).select(F.col("m.pivot").alias("a"), F.col("cid").alias("b"))
-    tested = scratch.table(verified(docs, scratch.table(pairs, "pairs"), k, num, den, scratch), "tested")
-    turn, known = 0, tested
+    partial = product.groupBy("pivot", "cid").agg(F.count("*").alias("overlap"))
+    pairs = partial.groupBy("cid").agg(F.max(F.struct("overlap", "pivot")).alias("m")).select(F.col("m.pivot").alias("a"), F.col("cid").alias("b"))
+    known = scratch.table(linked(overlaps(docs, scratch.table(pairs, "pairs"), k, scratch), num, den), "counts")
+    turn = 0
     while True:
         comps = scratch.table(connected_components(known.filter("ok").select("a", "b"), scratch), "components")
         placed = reps.join(comps, reps.cid == comps.node, "left").select("cid", "n", F.coalesce("root", "cid").alias("comp"), F.explode("prefix").alias("gram"))
         again = contested(placed, reps.select("cid", "sketch"), num, den, turn < NEAREST_ROUNDS)
         seen = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.lit(True).alias("seen")).distinct()
         again = scratch.table(again.join(seen, ["a", "b"], "left"), "contested")
-        # a nearest partner tested before still hides the others of its class, so its cut counts
+        # a nearest partner counted before still hides the others of its class, so its cut counts
         count, cut = again.agg(F.count_if(F.col("seen").isNull()), F.max("cut")).first()
         turn += 1
         if not count:
             if cut:
                 continue
             break
-        more = scratch.table(verified(docs, again.filter("seen is null").select("a", "b"), k, num, den, scratch), "tested")
+        more = scratch.table(linked(overlaps(docs, again.filter("seen is null").select("a", "b"), k, scratch), num, den), "counts")
         known = known.unionAll(more)
-        if not cut:  # every pair that could join two components has been tested
+        if not cut:  # every place that could join two components has been counted
             comps = scratch.table(connected_components(known.filter("ok").select("a", "b"), scratch), "components")
             break
-    told = prof.join(comps, prof.cid == comps.node, "left").select("doc_id", "row", "n", F.coalesce("root", "cid").alias("comp"))
-    told = scratch.table(told, "told")
-    lows = told.filter("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("low"))
-    out = told.join(lows, "comp", "left").select("doc_id", "row", F.col("n").alias("n_shingles"), F.coalesce("low", "doc_id").alias("component_id"))
-    return scratch.table(out, "result", keep=True)
+    return scratch.table(named(prof, comps, scratch), "result", keep=True)
 
 
 def plain(docs: DataFrame) -> DataFrame:
@@ -281,18 +306,22 @@ def unpacked_text(packed: pa.Array) -> pa.Array:
 
 def representatives(docs: DataFrame, k: int, num: int, den: int, scratch: Scratch) -> DataFrame:
     """The rows of docs of which one stays for each component: the smallest id's; of its rows with that id, the one of the smallest
-    text hash; of repeated rows one. Rows without a word all stay. Texts go through the one shuffle packed, and come out as they were."""
+    text hash; of repeated rows one. Rows without a word all stay. Texts go through the one shuffle packed, and come out as they were.
+    Columns may have any names: they travel in a struct."""
     columns = docs.columns
     found = components(plain(docs), k, num, den, scratch)
-    stay = found.filter("n_shingles > 0 and doc_id <=> component_id").groupBy("component_id").agg(F.min("row").alias("__h"))
-    key = lambda c: (F.coalesce(F.col(c).cast("long"), F.lit(0)), F.col(c).isNull())  # noqa: E731  plain columns, so that join and dropDuplicates share one shuffle
-    stay = scratch.table(stay.select("__h", *(k.alias(n) for k, n in zip(key("component_id"), ("__d", "__n"), strict=True))), "stay", keep=True)
-    worded = F.coalesce(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    stay = found.filter("n_shingles > 0 and doc_id <=> component_id").groupBy("component_id").agg(F.min("row").alias("h"))
+    key = lambda c: (F.coalesce(c.cast("long"), F.lit(0)), c.isNull())  # noqa: E731  plain columns, so that join and dropDuplicates share one shuffle
+    stay = scratch.table(stay.select("h", *(x.alias(n) for x, n in zip(key(F.col("component_id")), ("d", "none"), strict=True))), "stay", keep=True)
+    text = F.col("text").cast("string")
+    rest = F.struct(*(F.col(f"`{c}`") for c in columns if c != "text")).alias("rest")
+    worded = F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     # not deterministic for the optimizer, which would else move the join below the packing
     pack, unpack = F.arrow_udf(packed_text, "binary").asNondeterministic(), F.arrow_udf(unpacked_text, "string")
-    keyed = docs.filter(worded).withColumns({"__h": F.xxhash64(F.col("text").cast("string")), **dict(zip(("__d", "__n"), key("doc_id"), strict=True)), "text": pack(F.col("text").cast("string"))})
-    one = keyed.join(stay, ["__h", "__d", "__n"], "left_semi").dropDuplicates(["__h", "__d", "__n"])
-    return one.withColumn("text", unpack("text")).select(columns).unionAll(docs.filter(~worded))
+    keyed = docs.filter(worded).select(F.xxhash64(text).alias("h"), *(x.alias(n) for x, n in zip(key(F.col("doc_id")), ("d", "none"), strict=True)), pack(text).alias("packed"), rest)
+    one = keyed.join(stay, ["h", "d", "none"], "left_semi").dropDuplicates(["h", "d", "none"]).withColumn("packed", unpack("packed"))
+    one = one.select(*((F.col("packed") if c == "text" else F.col("rest").getField(c)).alias(c) for c in columns))
+    return one.unionAll(docs.filter(~worded))
 
 
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

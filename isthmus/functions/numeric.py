@@ -19,14 +19,20 @@ def canonical_text(value: Column) -> Column:
 
 def half_away(value: Column, precision: int, scale: int) -> Column:
     """Rounded half away from zero to decimal(precision, scale)."""
-    return F.round(value, scale).cast(f"decimal({precision},{scale})")
+    return F.round(value, scale).try_cast(f"decimal({precision},{scale})")
 
 
 def exact_decimal(value: Column, precision: int, scale: int, name: str) -> Column:
     """A cast that raises, naming the column, where the value does not fit or loses digits."""
-    cast = F.expr(f"try_cast(NULL as decimal({precision},{scale}))") if value is None else value.try_cast(f"decimal({precision},{scale})")
+    kind = f"decimal({precision},{scale})"
+    cast = value.try_cast(kind)
     fail = F.raise_error(F.concat(F.lit(f"column {name}: "), value.cast("string"), F.lit(f" is not exact in DECIMAL({precision},{scale})")))
-    return F.when(value.isNull() | (cast == value), cast).otherwise(fail.cast(f"decimal({precision},{scale})"))
+    return F.when(value.isNull() | (cast == value), cast).otherwise(fail.cast(kind))
+
+
+def rounded_decimal(value: Column, precision: int, scale: int, name: str) -> Column:
+    """As exact_decimal, but digits beyond the scale are rounded half away from zero."""
+    return exact_decimal(half_away(value, 38, scale), precision, scale, name)
 
 
 def encode_number(value: int, scale: int = 0) -> bytes:
@@ -73,3 +79,23 @@ def decode_number(raw: bytes) -> Decimal | None:
     for d in pairs:
         n = n * 100 + d
     return sign * Decimal(n).scaleb(2 * (exponent - len(pairs) + 1))
+
+
+def scaled(raw: bytes, scale: int, digits: int, rounds: bool = False) -> tuple[int, str]:
+    """A remote number as value * 10**scale and a status: ok, inexact (digits beyond the scale, if they may not be rounded), overflow (more
+    digits than that) or infinity. With ``rounds`` half goes away from zero."""
+    if raw in (b"\xff\x65", b"\x00"):
+        return 0, "infinity"
+    value = decode_number(raw)
+    if value is None:
+        return 0, "ok"
+    sign, figures, exponent = value.as_tuple()
+    n, shift = int("".join(map(str, figures))), exponent + scale
+    if shift >= 0:
+        n *= 10**shift
+    else:
+        whole, rest = divmod(n, 10**-shift)
+        if rest and not rounds:
+            return 0, "inexact"
+        n = whole + (2 * rest >= 10**-shift)
+    return (0, "overflow") if n >= 10**digits else (-n if sign else n, "ok")

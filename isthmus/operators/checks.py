@@ -15,9 +15,12 @@ def checksum(df: DataFrame) -> DataFrame:
         sums.append(F.count_if(c.isNull()).alias(f"{f.name}_nulls"))
         if isinstance(f.dataType, (T.IntegralType, T.DecimalType)):
             sums.append(F.sum(c.cast("decimal(38,4)")).alias(f"{f.name}_sum"))
+        elif isinstance(f.dataType, (T.FloatType, T.DoubleType)):
+            # the bits of doubles are summed, as sums of doubles depend on their order
+            sums.append(F.sum(F.xxhash64(c.cast("double")).cast("decimal(38,0)")).alias(f"{f.name}_sum"))
         elif isinstance(f.dataType, T.StringType):
             sums.append(F.sum(F.length(c).cast("long")).alias(f"{f.name}_sum"))
-        elif isinstance(f.dataType, T.TimestampNTZType):
+        elif isinstance(f.dataType, (T.DateType, T.TimestampNTZType)):
             sums.append(F.sum(F.unix_micros(c.cast("timestamp")).cast("decimal(38,0)")).alias(f"{f.name}_sum"))
     return df.agg(*sums)
 

@@ -12,9 +12,20 @@ from isthmus.sources.names import BridgeError
 
 SPLITS, SNAPSHOTS = ("auto", "extents", "hash", "none"), ("auto", "scn", "none")
 MIN_BLOCKS, UNITS_PER_SESSION = 1024, 4
+# The greatest parts of a row address; kinds of tables whose rows have no addresses that can be cut.
+LAST_FILE, LAST_BLOCK, LAST_ROW = 1023, 2**22 - 1, 2**16 - 1
+NO_ADDRESSES = ("IOT", "CLUSTER", "EXTERNAL", "HYBRID")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 
 
+def why_not_extents(organization: str) -> str:
+    """Why a table cannot be cut by extents, or ''. Kinds that are not known are refused too."""
+    kind = organization.upper()
+    if kind == "HEAP":
+        return ""
+    return f"a table of organization {kind or 'unknown'} has no extents of its own" + ("" if kind in NO_ADDRESSES else "; it is not listed as a heap table")
+
+
 def choice(option: str, value: str, allowed: tuple[str, ...]) -> str:
     if (v := value.lower()) not in allowed:
         raise BridgeError(f"{option} {value!r}: use one of {', '.join(allowed)}")
@@ -108,6 +119,13 @@ def plan(split: str, n_sessions: int, is_table: bool, extents: list[Any] | None,
     return WorkPlan("none", (None,), tuple(notes))
 
 
+def whole_bytes(files: list[tuple[str, int]], n_sessions: int, block: int = 8192) -> list[Range]:
+    """Files (path, bytes) as segments of blocks, cut by the rule of extents: ranges of file blocks, largest first. data_object is the
+    file's number; the last range of a file has no end."""
+    extents = [Extent(i, 0, 0, max(1, -(-size // block))) for i, (_, size) in enumerate(files)]
+    return ranges(extents, unit_blocks(max((e.blocks for e in extents), default=1), n_sessions))
+
+
 def bucket(columns: list[str], k: int, n: int) -> Column:
     """Rows of hash bucket k of n."""
     return F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in columns)), F.lit(n)) == k

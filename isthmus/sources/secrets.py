@@ -38,6 +38,6 @@ def drop_secret(name: str) -> None:
 
 def redacted(text: str) -> str:
     """text without any known password, and without what follows password=."""
-    for s in _KNOWN.values():
+    for s in sorted(_KNOWN.values(), key=lambda s: -len(s.password)):
         text = text.replace(s.password, "***")
     return re.sub(r"(?i)(password\s*[=:]\s*)\S+", r"\1***", text)

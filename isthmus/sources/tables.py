@@ -1,4 +1,7 @@
-"""A folder of Parquet tables as a remote side: description, files frozen at planning, native reads."""
+"""A folder of Parquet tables as a remote side: schemas, descriptions, synonyms, files frozen at planning, native reads.
+
+The folder's own tables are those of the default schema; each subfolder that holds tables is a schema.
+"""
 
 from __future__ import annotations
 
@@ -28,7 +31,10 @@ class TableInfo:
     name: str
     schema: T.StructType
     columns: tuple[RemoteColumn, ...]
-    files: tuple[str, ...] = ()
+    kind: str = "table"
+    organization: str = "HEAP"
+    rows: int | None = None
+    schema_name: str | None = None
 
     def column(self, name: str) -> RemoteColumn:
         """By exact name, else by a unique name without regard to case."""
@@ -40,38 +46,105 @@ class TableInfo:
 
 @dataclass
 class ParquetSide:
-    """Tables under a folder of any file system that Spark reads."""
+    """Tables under a folder of any file system that Spark reads. synonyms: names (schema or None for a public one, name) to names.
+    declared: remote columns of a table (schema, name) where they differ from those that its files' types stand for."""
 
     spark: SparkSession
     folder: str
-    known: dict[str, TableInfo | None] = field(default_factory=dict)
-
-    def describe(self, table: str) -> TableInfo | None:
-        """A table's description, kept with its misses until refresh(); exact name, then lower case."""
-        if table not in self.known:
-            self.known[table] = next((t for t in map(self._read, dict.fromkeys((table, table.lower()))) if t), None)
-        return self.known[table]
+    synonyms: dict[tuple[str | None, str], tuple[str | None, str]] = field(default_factory=dict)
+    declared: dict[tuple[str | None, str], tuple[RemoteColumn, ...]] = field(default_factory=dict)
+    known: dict[tuple[str | None, str], TableInfo | None] = field(default_factory=dict)
+    users: list[str] | None = None
 
-    def _read(self, name: str) -> TableInfo | None:
+    def _fs(self):
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+        return path(self.folder).getFileSystem(conf), path
+
+    def schemas(self) -> list[str]:
+        """The subfolders that hold tables, listed once until refresh()."""
+        if self.users is None:
+            fs, path = self._fs()
+            folders = [s.getPath() for s in fs.listStatus(path(self.folder)) if s.isDirectory() and not s.getPath().getName().endswith(".parquet")]
+            self.users = sorted(p.getName() for p in folders if any(s.getPath().getName().endswith(".parquet") for s in fs.listStatus(p)))
+        return self.users
+
+    def schema(self, name: str | None) -> str | None:
+        """A schema by exact name, else by its name in upper, then lower case."""
+        if name is None:
+            return None
+        found = next((n for n in (name, name.upper(), name.lower()) if n in self.schemas()), None)
+        if found is None:
+            raise BridgeError(f"no schema {name}")
+        return found
+
+    def place(self, schema: str | None) -> str:
+        return f"{self.folder.rstrip('/')}/{schema}" if schema else self.folder.rstrip("/")
+
+    def describe(self, table: str, schema: str | None = None) -> TableInfo | None:
+        """A table's description, kept with its misses until refresh(): by exact name, then upper and lower case; then synonyms of the
+        schema and public ones, up to eight deep."""
+        key = (schema, table)
+        if key not in self.known:
+            self.known[key] = self._find(schema, table, 8)
+        return self.known[key]
+
+    def _find(self, schema: str | None, table: str, depth: int) -> TableInfo | None:
+        names = list(dict.fromkeys((table, table.upper(), table.lower())))
+        for n in names:
+            if found := self._read(schema, n):
+                return found
+        for owner in dict.fromkeys((schema, None)):
+            for n in names:
+                if (target := self.synonyms.get((owner, n))) is not None:
+                    if not depth:
+                        raise BridgeError(f"synonym {table}: more than eight deep")
+                    return self._find(*target, depth - 1)
+        return None
+
+    def _read(self, schema: str | None, name: str) -> TableInfo | None:
         from pyspark.errors import AnalysisException
 
+        path = f"{self.place(schema)}/{name}.parquet"
+        fs, at = self._fs()
+        if not fs.exists(at(path)):
+            return None
         try:
-            df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            df = self.spark.read.parquet(path)
         except AnalysisException:
             return None
-        return TableInfo(name, df.schema, tuple(map(remote_column, df.schema)))
+        said = {c.name: c for c in self.declared.get((schema, name), ())}
+        return TableInfo(name, df.schema, tuple(said.get(f.name) or remote_column(f) for f in df.schema), schema_name=schema)
 
-    def list(self) -> list[str]:
-        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(self.folder)
-        return sorted(n.removesuffix(".parquet") for s in path.getFileSystem(conf).listStatus(path) if (n := s.getPath().getName()).endswith(".parquet"))
+    def list(self, schema: str | None = None) -> list[str]:
+        fs, path = self._fs()
+        return sorted(n.removesuffix(".parquet") for s in fs.listStatus(path(self.place(schema))) if (n := s.getPath().getName()).endswith(".parquet"))
+
+    def describe_all(self, schema: str | None = None) -> list[TableInfo]:
+        """Every table of a schema that can be read."""
+        return [t for n in self.list(schema) if (t := self.describe(n, schema))]
 
     def frozen(self, info: TableInfo) -> list[str]:
         """The files of a table now: all partitions of a scan read these and no later ones."""
-        return sorted(self.spark.read.parquet(f"{self.folder}/{info.name}.parquet").inputFiles())
+        return sorted(self.spark.read.parquet(f"{self.place(info.schema_name)}/{info.name}.parquet").inputFiles())
+
+    def sizes(self, files: list[str]) -> list[tuple[str, int]]:
+        """Files with their bytes."""
+        fs, path = self._fs()
+        return [(f, fs.getFileStatus(path(f)).getLen()) for f in files]
+
+    def rows(self, info: TableInfo) -> int:
+        """How many rows a table has by its files' footers; no column is read."""
+        return self.read(info).count()
 
     def read(self, info: TableInfo, files: list[str] | None = None) -> DataFrame:
-        return self.spark.read.schema(info.schema).parquet(*(files or [f"{self.folder}/{info.name}.parquet"]))
+        root = f"{self.place(info.schema_name)}/{info.name}.parquet"
+        fs, path = self._fs()
+        reader = self.spark.read.schema(info.schema)
+        # columns that are names of folders, not in the files
+        reader = reader.option("basePath", root) if files and fs.getFileStatus(path(root)).isDirectory() else reader
+        return reader.parquet(*(files or [root]))
 
     def refresh(self) -> None:
         self.known.clear()
+        self.users = None

@@ -72,3 +72,11 @@ def write_fits(source: T.DataType, target: RemoteColumn) -> bool:
     if isinstance(source, T.StringType):
         return t in ("VARCHAR2", "CHAR")
     return isinstance(source, (T.DateType, T.TimestampNTZType)) and (t == "DATE" or t.startswith("TIMESTAMP") and "TIME ZONE" not in t)
+
+
+def number_limits(c: RemoteColumn) -> tuple[int, int] | None:
+    """(digits before the point, digits after it, negative where they are rounded away) that a NUMBER column holds; None if any."""
+    if c.precision is None and c.scale is None:
+        return None
+    scale = c.scale or 0
+    return (c.precision or 38) - scale, scale

@@ -8,7 +8,8 @@ from isthmus.sources.types import RemoteColumn
 from isthmus.sources.writer import load
 
 
-def follow(spark: SparkSession, source: str, schema: object, folder: str, target: list[RemoteColumn], checkpoint: str):
-    """A query that loads what has come since its last run; each micro-batch is loaded whole or not at all."""
+def follow(spark: SparkSession, source: str, schema: object, folder: str, target: list[RemoteColumn], checkpoint: str, name: str = "batch"):
+    """A query that loads what has come since its last run; each micro-batch is loaded whole or not at all, and once: the load carries the
+    query's name and the batch's number, so a batch that is replayed after a crash finds itself done."""
     stream = spark.readStream.schema(schema).parquet(source)
-    return stream.writeStream.foreachBatch(lambda df, _: load(df, folder, target)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(lambda df, n: load(df, folder, target, job=f"{name}-{n}")).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from isthmus.llm.common import Scratch, read
+from isthmus.llm.common import Scratch, drop_kept, read
 from isthmus.llm.mixing import mixed_documents
 from isthmus.llm.ngram_join import representatives
 from isthmus.llm.packing import MAX_LEN, pack, pieces
@@ -52,8 +52,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents`` of sf_dir. What a stage kept for its result is deleted once the result is written."""
     with Scratch(spark, "pipeline") as scratch:
         docs = read(spark, sf_dir, "documents")
         for i, (name, stage) in enumerate(STAGES):
+            since = len(Scratch.left)
             docs = scratch.table(stage(spark, docs, sf_dir), name, keep=i == len(STAGES) - 1)
+            drop_kept(spark, since)
         return docs

@@ -95,6 +95,16 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Inputs of up to so many bytes are dealt to all cores before they are worked on.
+SMALL_INPUT = 64 << 20
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """df as it is, or, if it is small, dealt round robin: a small file is often one row group, which one task alone would read."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(max(1, df.sparkSession.sparkContext.defaultParallelism)) if size <= SMALL_INPUT else df
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -220,9 +230,9 @@ def grams(ids: np.ndarray, k: int) -> np.ndarray:
 
 # ---------------------------------------------------------------- census of hashes
 
-#: A bitmap by leading bits of a hash has so many bits at least and at most: it is sized to be an eighth full at most, as long as it may
-#: grow (16 MB; 128 MB where a caller says so). A false entry costs time, never a result.
-LEAST_BITS, BITMAP_BITS, WIDE_BITS, FILL = 20, 27, 30, 8
+#: A bitmap by leading bits of a hash has so many bits at least and at most (16 MB; 128 MB where a caller says so). It has ROOM bits a hash
+#: as long as it may grow, and counts as sparse down to FILL. A false entry costs time, never a result.
+LEAST_BITS, BITMAP_BITS, WIDE_BITS, ROOM, FILL = 20, 27, 30, 64, 8
 #: Hashes that a task gathers before it sorts and sends them.
 CENSUS_FLUSH = 3_000_000
 COUNT_MAX = 65_535
@@ -306,7 +316,7 @@ def census(docs: DataFrame, hashes_of, over: tuple[int, ...], scratch: Scratch,
     table = scratch.table(sent.mapInArrow(merge, "bucket int, " + ", ".join(kinds)), "census")
     counts = dict(zip(over, (n or 0 for n in table.agg(*(F.sum(f"n{i}") for i in range(len(over)))).first()), strict=True))
     picked = choose(counts) if choose else list(over)
-    sizes = [min(most, max(LEAST_BITS, (FILL * counts[b]).bit_length())) for b in picked]
+    sizes = [min(most, max(LEAST_BITS, (ROOM * counts[b]).bit_length())) for b in picked]
     names = [f"m{over.index(b)}" for b in picked]
 
     def fold(batches):

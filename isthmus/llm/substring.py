@@ -1,12 +1,16 @@
 """Substring deduplication with FM-indexes (operator 7).
 
 A window of W words that another document holds too shares its minimizer, the least hash of its runs of GRAM words. A census marks
-minimizers of two or more documents in a bitmap of fixed size; runs of windows with one such minimizer are segments, and all equal
+minimizers of two or more documents in a bitmap sized by the data; runs of windows with one such minimizer are segments, and all equal
 windows come to one shard. Equal segments of a batch are one row, with all places they stand at. Each shard builds a compressed
 FM-index of its distinct segments (Burrows-Wheeler transform in a wavelet matrix of packed bits) and streams the segments through
-it: backward search gives every window's interval, and the least document id in it says which places repeat an earlier document.
-Windows with a minimizer of very many documents are dealt out one by one, by a hash of the whole window, and send only the least id
-of a batch; their least ids are joined with the places, so no shard grows with a passage's popularity.
+it: backward search gives the matching statistics, for each word the longest run ending there that stands elsewhere too, up to W, with
+its interval of suffixes. Where a statistic reaches the threshold W, the least document id of the interval says which places repeat an
+earlier document; those intervals of words are reported and cut.
+
+Windows with a minimizer of many documents are dealt out one by one, by a hash of the whole window, and send only the least id of a
+batch, so no shard grows with a passage's popularity. Their least ids come back to the places by broadcast, or, where they are too many
+for that, by a salted join.
 """
 
 from __future__ import annotations
@@ -19,12 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isthmus.llm.common import Scratch, census, distinct, grams, in_bitmap, partitions, raw, read, word_hashes
+from isthmus.llm.common import WIDE_BITS, Scratch, census, dealt, distinct, grams, in_bitmap, partitions, raw, read, word_hashes
 from isthmus.llm.ngram_join import plain
 
 WINDOW, GRAM = 13, 4
 #: Documents above which a minimizer's windows are dealt out one by one.
 POPULAR = 20_000
+#: Windows of such minimizers whose least ids are broadcast (16 bytes each); more are joined, a window's places in SALTS parts.
+BROADCAST_LOWS, SALTS = 500_000, 16
 #: Words of an FM-index, but for one minimizer's segments, which stay together.
 SHARD_WORDS = 300_000
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -92,33 +98,31 @@ class FmIndex:
         i = np.minimum(np.searchsorted(self.symbols, text), len(self.symbols) - 1)
         return np.where(self.symbols[i] == text, i + 1, 0)
 
-    def repeated(self, coded: np.ndarray, first: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of the windows coded[first : first + length], which stand at more than one place of the index, and their intervals. A
-        window is dropped as soon as its interval has one row."""
-        if not len(first):
-            return first, first, first
-        symbol = coded[first + length - 1]
-        low, high = self.first[symbol], np.where(symbol > 0, self.first[symbol + 1], self.first[symbol])
-        alive = np.arange(len(first))
-        for i in range(length - 2, -1, -1):
-            many = high - low > 1
-            alive, low, high = alive[many], low[many], high[many]
-            low, high = self.extend(coded[first[alive] + i], low, high)
-        many = high - low > 1
-        return alive[many], low[many], high[many]
+    def statistics(self, coded: np.ndarray, ends: np.ndarray, cap: int, rows: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Matching statistics of a coded text: for each of the places ``ends`` the length, up to cap, of the longest run of words ending
+        there that stands at ``rows`` places of the index at least, and that run's interval of suffixes."""
+        n, cap = len(ends), min(cap, self.DEPTH)
+        length, at_low, at_high = np.full(n, cap), np.zeros(n, np.int64), np.full(n, len(self.text), np.int64)
+        before = np.r_[np.zeros(cap, np.int64), coded]  # no run goes beyond the begin of the text
+        alive, low, high, at = np.arange(n), at_low.copy(), at_high.copy(), ends + cap
+        for k in range(cap):
+            symbol = before[at - k]
+            if k:
+                a, b = self.extend(symbol, low, high)
+            else:
+                a, b = self.first[symbol], np.where(symbol > 0, self.first[symbol + 1], self.first[symbol])
+            enough = b - a >= rows
+            if not enough.all():
+                ended = alive[~enough]
+                length[ended], at_low[ended], at_high[ended] = k, low[~enough], high[~enough]
+                alive, at, a, b = alive[enough], at[enough], a[enough], b[enough]
+            low, high = a, b
+        at_low[alive], at_high[alive] = low, high
+        return length, at_low, at_high
 
     def matching_statistics(self, text: np.ndarray, cap: int) -> np.ndarray:
         """For each place of text the length, up to cap, of the longest run of words ending there that the index holds."""
-        coded = self.codes(text)
-        low, high = np.zeros(len(text), np.int64), np.full(len(text), len(self.text), np.int64)
-        length = np.zeros(len(text), np.int64)
-        alive = np.arange(len(text))
-        for k in range(min(cap, self.DEPTH)):
-            alive = alive[alive >= k]
-            low[alive], high[alive] = self.extend(coded[alive - k], low[alive], high[alive])
-            alive = alive[low[alive] < high[alive]]
-            length[alive] = k + 1
-        return length
+        return self.statistics(self.codes(text), np.arange(len(text)), cap)[0]
 
 
 def least_in(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -213,9 +217,10 @@ def searched(segments: DataFrame, window: int) -> DataFrame:
         first = np.repeat(fm.starts, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         ids = np.r_[np.array([v[0] for v in values], np.int64), np.iinfo(np.int64).max]
         mins = np.repeat(ids[:-1], n)
-        more, low, high = fm.repeated(fm.text, first, window)
+        length, low, high = fm.statistics(fm.text, first + window - 1, window, rows=2)
+        more = np.flatnonzero(length >= window)
         if len(more):
-            mins[more] = least_in(ids[fm.owner[fm.suffixes]], low, high)
+            mins[more] = least_in(ids[fm.owner[fm.suffixes]], low[more], high[more])
         cols: list[list] = [[] for _ in kinds]
         upto = np.cumsum(n)
         for v, a, b in zip(values, (upto - n).tolist(), upto.tolist(), strict=True):
@@ -254,20 +259,48 @@ def searched(segments: DataFrame, window: int) -> DataFrame:
     return segments.repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(run, "doc_id long, row long, windows array<int>, key long, low long")
 
 
-def popular_places(docs: DataFrame, window: int, maps: object) -> DataFrame:
-    """doc_id, row, at and key of every window with a popular minimizer."""
+def popular_places(docs: DataFrame, window: int, maps: object):
+    """Batches of docs (doc_id, text, row) as (doc_id, row, places, keys) of the windows with a popular minimizer, for each row with one."""
 
-    def run(batches):
+    def places(batch: pa.RecordBatch):
         two, many = (np.frombuffer(b, np.uint8) for b in maps.value)
+        for d, ids, row in zip(batch.column(0).to_pylist(), word_hashes(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+            key = minimizers(ids, window)
+            at = np.flatnonzero(in_bitmap(two, key) & in_bitmap(many, key)) if len(key) else []
+            if len(at):
+                yield d, row, at.astype(np.int32), grams(ids, window)[at].view(np.int64)
+
+    return places
+
+
+def popular_hits(docs: DataFrame, lows: DataFrame, window: int, maps: object) -> DataFrame:
+    """doc_id, row and windows of the places of popular windows that an earlier document holds, by lows (key, low)."""
+    places = popular_places(docs, window, maps)
+    if (n := lows.count()) <= BROADCAST_LOWS:
+        table = lows.orderBy("key").collect() if n else []
+        sent = docs.sparkSession.sparkContext.broadcast(np.array([[r.key for r in table], [r.low for r in table]], np.int64))
+
+        def hits(batches):
+            keys, low = sent.value
+            for batch in batches:
+                out = []
+                for d, row, at, key in places(batch):
+                    i = np.minimum(np.searchsorted(keys, key), max(0, len(keys) - 1))
+                    found = at[(keys[i] == key) & (low[i] < d)] if len(keys) else at[:0]
+                    if len(found):
+                        out.append((d, row, found))
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.list_(pa.int32())))], ["doc_id", "row", "windows"])
+
+        return docs.mapInArrow(hits, "doc_id long, row long, windows array<int>")
+
+    def each(batches):
         for batch in batches:
-            for d, ids, row in zip(batch.column(0).to_pylist(), word_hashes(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-                key = minimizers(ids, window)
-                at = np.flatnonzero(in_bitmap(two, key) & in_bitmap(many, key)) if len(key) else []
-                if len(at):
-                    each = grams(ids, window)[at].view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), d)), pa.array(np.full(len(at), row)), pa.array(at.astype(np.int32)), pa.array(each)], ["doc_id", "row", "at", "key"])
+            for d, row, at, key in places(batch):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), d)), pa.array(np.full(len(at), row)), pa.array(at), pa.array(key)], ["doc_id", "row", "at", "key"])
 
-    return docs.mapInArrow(run, "doc_id long, row long, at int, key long")
+    salted = docs.mapInArrow(each, "doc_id long, row long, at int, key long").withColumn("salt", F.pmod(F.xxhash64("doc_id", "row"), F.lit(SALTS)).cast("int"))
+    all_lows = lows.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(all_lows, ["key", "salt"]).filter("low < doc_id").groupBy("doc_id", "row").agg(F.collect_set("at").alias("windows"))
 
 
 def repeats(docs: DataFrame, window: int, scratch: Scratch) -> DataFrame:
@@ -281,13 +314,12 @@ def repeats(docs: DataFrame, window: int, scratch: Scratch) -> DataFrame:
         for ids in word_hashes(batch.column(1)):
             yield distinct(minimizers(ids, window))
 
-    maps = docs.sparkSession.sparkContext.broadcast(census(known, values, (1, POPULAR)))  # two bitmaps of fixed size
+    maps = docs.sparkSession.sparkContext.broadcast(census(known, values, (1, POPULAR), scratch, WIDE_BITS))  # two bitmaps of bounded size
     found = scratch.table(searched(cut(known, window, maps), window), "found")
     hits = found.filter("windows is not null").select("doc_id", "row", "windows")
     if any(maps.value[1]):
         lows = found.filter("key is not null").select("key", "low")
-        more = popular_places(known, window, maps).join(lows, "key").filter("low < doc_id").groupBy("doc_id", "row").agg(F.collect_set("at").alias("windows"))
-        hits = hits.unionAll(more)
+        hits = hits.unionAll(popular_hits(known, lows, window, maps))
     return hits.groupBy("doc_id", "row").agg(F.flatten(F.collect_list("windows")).alias("windows"))
 
 
@@ -329,7 +361,7 @@ def digests(docs: DataFrame, found: DataFrame, window: int) -> DataFrame:
 
 def without_repeats(docs: DataFrame, window: int, scratch: Scratch) -> DataFrame:
     """docs with the repeated words, and the white space after each, cut out of their texts; other texts as they are. n_chars, if
-    there is such a column, is counted anew where words were cut."""
+    there is such a column, is counted anew where words were cut. Columns may have any names: they travel in a struct."""
     found = scratch.table(repeats(plain(docs), window, scratch), "found", keep=True)
 
     @F.pandas_udf("string")
@@ -347,19 +379,19 @@ def without_repeats(docs: DataFrame, window: int, scratch: Scratch) -> DataFrame
             out.append(t)
         return pd.Series(out, dtype=object)
 
-    d, f = docs.withColumn("_row", F.xxhash64(F.col("text").cast("string"))).alias("d"), found.alias("f")
-    both = d.join(f, F.expr("cast(d.doc_id as long) = f.doc_id and d._row = f.row"), "left")
-    text = F.when(F.col("f.windows").isNotNull(), cleaned(F.col("d.text"), F.col("f.windows"))).otherwise(F.col("d.text"))
-    out = both.select(*(text.alias(c) if c == "text" else F.col(f"d.{c}") for c in docs.columns), F.col("f.windows").isNotNull().alias("_cut"))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_cut"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(docs.columns)
+    text = F.col("text").cast("string")
+    rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("row")).alias("d")
+    both = rows.join(found.alias("f"), F.expr("d.doc_id = f.doc_id and d.row = f.row"), "left").select("doc", "text", "windows")
+    lost = F.col("windows").isNotNull()
+    both = both.withColumn("text", F.when(lost, cleaned("text", "windows")).otherwise(F.col("text")))
+    said = {"text": F.col("text"), "n_chars": F.when(lost, F.length("text").cast(docs.schema["n_chars"].dataType if "n_chars" in docs.columns else "long")).otherwise(F.col("doc").getField("n_chars") if "n_chars" in docs.columns else F.lit(None))}
+    return both.select(*((said[c] if c in said else F.col("doc").getField(c)).alias(c) for c in docs.columns))
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of 13 words."""
     with Scratch(spark, "op7") as scratch:
-        docs = plain(read(spark, sf_dir, "documents"))
+        docs = dealt(plain(read(spark, sf_dir, "documents")))
         found = scratch.table(repeats(docs, WINDOW, scratch), "found", keep=True)
         return digests(docs, found, WINDOW)
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from isthmus.plans import units as U
 from isthmus.plans.predicates import Term
 from isthmus.plans.scan import Report, scan
-from isthmus.sources.names import BridgeError, parse_name
+from isthmus.sources.names import BridgeError, RemoteError, parse_name
 from isthmus.sources.tables import TableInfo
 from isthmus.sources.types import unconstrained
 
@@ -62,9 +62,7 @@ class Catalog:
         """Names in a schema (the default one without a name); none, with a warning, if the side cannot be reached."""
         try:
             return self.side.list(self.side.schema(schema or self.default))
-        except BridgeError:
-            raise
-        except Exception as e:  # noqa: BLE001  whatever the side's store raises
+        except RemoteError as e:
             warnings.warn(f"schema {schema or self.default}: {e}", stacklevel=2)
             return []
 

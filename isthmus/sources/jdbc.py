@@ -25,7 +25,7 @@ from isthmus.plans import predicates as P
 from isthmus.plans import units as U
 from isthmus.plans.conditions import condition
 from isthmus.plans.scan import Report, ScanKey
-from isthmus.sources.names import BridgeError, literal, parse_name, quote, unique_names
+from isthmus.sources.names import BridgeError, RemoteError, literal, parse_name, quote, unique_names
 from isthmus.sources.secrets import redacted, secret
 from isthmus.sources.tables import TableInfo
 from isthmus.sources.types import RemoteColumn, read_type
@@ -39,14 +39,6 @@ OURS = ("pushDownPredicate", "pushDownAggregate", "pushDownLimit", "pushDownOffs
 FETCH_BYTES, FETCH_ROWS = 64 << 20, 8192
 
 
-class RemoteError(BridgeError):
-    """What the remote side says, with its code."""
-
-    def __init__(self, message: str, code: int) -> None:
-        super().__init__(message)
-        self.code = code
-
-
 def remote_type(jdbc: int, name: str, size: int, digits: int) -> tuple[str, int | None, int | None]:
     """data_type, precision and scale of a JDBC column."""
     whole = {-6: 3, 5: 4, 4: 9, -5: 18}  # tinyint, smallint, integer, bigint: the widths that read as the same types

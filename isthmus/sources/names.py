@@ -9,6 +9,14 @@ class BridgeError(ValueError):
     """A request that cannot be met, with the reason."""
 
 
+class RemoteError(BridgeError):
+    """What the remote side says, with its code."""
+
+    def __init__(self, message: str, code: int) -> None:
+        super().__init__(message)
+        self.code = code
+
+
 @dataclass(frozen=True)
 class RemoteName:
     schema: str | None

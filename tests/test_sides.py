@@ -24,8 +24,8 @@ from isthmus.plans.remote_sql import scan_sql
 from isthmus.plans.scan import scan
 from isthmus.sources import datasource, writer
 from isthmus.sources.catalog import Catalog, ReadOnlyError
-from isthmus.sources.jdbc import JdbcSide, RemoteError
-from isthmus.sources.names import BridgeError, quote
+from isthmus.sources.jdbc import JdbcSide, fetch_rows
+from isthmus.sources.names import BridgeError, RemoteError, quote
 from isthmus.sources.secrets import create_secret, drop_secret, redacted, secret
 from isthmus.sources.tables import ParquetSide, TableInfo
 from isthmus.sources.types import RemoteColumn, read_type
@@ -730,6 +730,24 @@ def test_catalog_of_a_database(derby):
         Catalog(ParquetSide(side.spark, D), secret="derby")
 
 
+def test_a_catalog_whose_side_is_gone_lists_nothing(derby, monkeypatch):
+    side, _ = derby
+    c = Catalog(side)
+
+    def gone(*_):
+        raise RemoteError("connection refused", 8006)
+
+    monkeypatch.setattr(side, "list", gone)
+    with pytest.warns(UserWarning, match="refused"):
+        assert c.tables() == [] and side.describe_all() == []
+
+
+def test_session_settings_and_fetches(spark, derby):
+    side = JdbcSide(spark, "jdbc:derby:memory:isthmus", "derby", session_settings="SET SCHEMA OTHER")
+    assert side.default_schema() == "OTHER" and side.scan('"mixed Case"')[0].count() == 0
+    assert fetch_rows([RemoteColumn("a", "NUMBER", 22)]) == 8192 and fetch_rows([RemoteColumn(str(i), "VARCHAR2", 4000) for i in range(550)]) == 30
+
+
 def test_quote():
     assert quote("a b") == '"a b"'
     with pytest.raises(BridgeError):

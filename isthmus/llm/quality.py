@@ -5,6 +5,9 @@ documents that the cutoff would reject are counted, and an exact binomial test a
 RISK / measures: P(Bin(n, risk) <= k) <= ERROR / (measures * cutoffs * strata), a Bonferroni correction over every test. Of the
 cutoffs so certified in a stratum, the one is used that rejects most labelled bad documents net of false rejections (which
 weigh tenfold), the most lenient of equals. Strata with too few labels certify nothing and reject nothing beyond the base.
+
+A null text has no words and fails the base; a null language is the stratum '' (as an empty one is). Repeated rows are judged each, and
+count each among the labelled; labels of documents that are not there count nowhere. Empty tables give none.
 """
 
 from __future__ import annotations
@@ -12,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isthmus.llm.common import SPACE, Scratch, read
+from isthmus.llm.common import SPACE, Scratch, dealt, read
 
 RISK, ERROR = 0.02, 0.05
 #: Fixed grids of cutoffs, from strict to lenient; a document is rejected above the cutoff.
@@ -64,24 +67,26 @@ def count_of(text: Column, pattern: str) -> Column:
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and the counts behind the measures. A null text
-    counts as empty, with zeros."""
-    text = F.coalesce(F.col("_text"), F.lit(""))
+    """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and the counts behind the measures, in place of columns of
+    these names. A null text counts as empty, with zeros."""
+    string = F.col("text").cast("string")
+    text = F.coalesce(string, F.lit(""))
     words = F.filter(F.split(text, SPACE + "+"), lambda w: w != "")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    first = docs.withColumn("_text", F.col("text").cast("string")).withColumn("_w", words).withColumn("_l", lines)
-    return first.select(
-        *docs.columns,
-        F.size("_w").cast("long").alias("n_words"),
-        F.length(F.array_join("_w", "")).cast("long").alias("word_chars"),
-        count_of(text, r"[#*$%&|<>]").alias("n_symbols"),
-        (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
-        repeated_words(F.col("_w")).alias("n_repeat_words"),
-        F.size("_l").cast("long").alias("n_lines"),
-        count_of(text, "!").alias("n_shouts"),
-        count_of(text, r"\p{Lu}").alias("n_upper"),
-        F.size(F.filter("_w", lambda w: F.length(w) > 40)).cast("long").alias("n_long_words"),
-    )
+    first = docs.select(F.struct("*").alias("doc"), string.alias("text"), words.alias("words"), lines.alias("lines"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    counts = {
+        "n_words": F.size("words").cast("long"),
+        "word_chars": F.length(F.array_join("words", "")).cast("long"),
+        "n_symbols": count_of(text, r"[#*$%&|<>]"),
+        "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
+        "n_repeat_words": repeated_words(F.col("words")),
+        "n_lines": F.size("lines").cast("long"),
+        "n_shouts": count_of(text, "!"),
+        "n_upper": count_of(text, r"\p{Lu}"),
+        "n_long_words": F.size(F.filter("words", lambda w: F.length(w) > 40)).cast("long"),
+    }
+    return first.select(*(F.col("doc").getField(c).alias(c) for c in docs.columns if c not in counts), *(c.alias(n) for n, c in counts.items()))
 
 
 def base_failed() -> Column:
@@ -146,18 +151,19 @@ def counted_documents(docs: DataFrame, scratch: Scratch, keep: bool = False) ->
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole table of documents, with all labels of quality as the holdout."""
     with Scratch(spark, "op5") as scratch:
-        counted = counted_documents(read(spark, sf_dir, "documents").select("doc_id", "lang", "text"), scratch, keep=True)
+        counted = counted_documents(dealt(read(spark, sf_dir, "documents").select("doc_id", "lang", "text")), scratch, keep=True)
         return verdicts(counted, read(spark, sf_dir, "labels").select("doc_id", "quality")).select(*OUT)
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
-    """The rows of docs that the rules keep, unchanged. Rows are told apart by id, language and a hash of their text."""
-    columns = docs.columns
-    keyed = docs.withColumn("_h", F.xxhash64("text"))
-    counted = scratch.table(measured(keyed.select("doc_id", "lang", "text", "_h")).drop("text"), "counted")
-    bad = scratch.table(verdicts(counted, labels.select("doc_id", "quality")).filter(~F.col("kept")).select("doc_id", "lang", "_h").distinct(), "rejected", keep=True)
-    a, b = keyed.alias("a"), bad.alias("b")
-    return a.join(b, F.expr("a._h = b._h and a.doc_id <=> b.doc_id and a.lang <=> b.lang"), "left_anti").select(columns)
+    """The rows of docs that the rules keep, unchanged. Rows are told apart by id, language and a hash of their text; columns may have any
+    names, as they travel in a struct."""
+    keyed = docs.select(F.struct("*").alias("document"), "doc_id", "lang", F.col("text").cast("string").alias("text")).withColumn("h", F.xxhash64("text"))
+    counted = scratch.table(measured(keyed.select("doc_id", "lang", "text", "h")).drop("text"), "counted")
+    bad = scratch.table(verdicts(counted, labels.select("doc_id", "quality")).filter(~F.col("kept")).select("doc_id", "lang", "h").distinct(), "rejected", keep=True)
+    a, b = keyed.drop("text").alias("a"), bad.alias("b")
+    left = a.join(b, F.expr("a.h = b.h and a.doc_id <=> b.doc_id and a.lang <=> b.lang"), "left_anti")
+    return left.select(*(F.col("document").getField(c).alias(c) for c in docs.columns))
 
 
 def _sql() -> str:

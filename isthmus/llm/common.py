@@ -7,6 +7,7 @@ cuts at. Nothing here holds state of a corpus on the driver but bitmaps of bound
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import math
 import os
 import tempfile
@@ -109,6 +110,23 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def release() -> None:
+    """Gives memory that nothing holds any more back to the machine: idle Python workers else keep what their last task took."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library of another kind
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(run):
+    """A mapInArrow function that gives its memory back at the end."""
+
+    def wrapped(batches):
+        yield from run(batches)
+        release()
+
+    return wrapped
+
+
 # ---------------------------------------------------------------- words and shingles
 
 
@@ -259,6 +277,7 @@ def census_mapper(hashes_of, bits: int):
         rows = [(b, pack_sorted((h[i:j] & np.uint64(0xFFFFFFFF)).astype(np.uint32)), zstandard.compress(n[i:j].tobytes(), 1)) for b, (i, j) in enumerate(zip(edges, edges[1:], strict=False)) if j > i]
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], ["bucket", "codes", "counts"])
 
+    @tidy
     def run(batches):
         parts, size = [], 0
         for batch in batches:
@@ -286,6 +305,7 @@ def census(docs: DataFrame, hashes_of, over: tuple[int, ...], scratch: Scratch,
     bits = min(16, most - 3, max(6, math.ceil(math.log2(partitions(spark)))))  # a byte of the bitmap for each bucket at least
     width = 2 ** (most - bits)
 
+    @tidy
     def merge(batches):
         codes: dict[int, list] = {}
         for batch in batches:
@@ -319,6 +339,7 @@ def census(docs: DataFrame, hashes_of, over: tuple[int, ...], scratch: Scratch,
     sizes = [min(most, max(LEAST_BITS, (ROOM * counts[b]).bit_length())) for b in picked]
     names = [f"m{over.index(b)}" for b in picked]
 
+    @tidy
     def fold(batches):
         for batch in batches:
             cols = []

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isthmus.llm.common import read
+from isthmus.llm.common import dealt, read, tidy
 
 # Element names of HTML by what they mean here, and words of class, id and role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -308,6 +308,7 @@ def main_text(page: str | None) -> str:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars (code points) of every row of pages (page_id, url, html)."""
 
+    @tidy
     def run(batches):
         for batch in batches:
             texts = [main_text(h) for h in batch.column(2).to_pylist()]
@@ -318,4 +319,4 @@ def extract(pages: DataFrame) -> DataFrame:
 
 def op10_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page, from its whole html."""
-    return extract(read(spark, sf_dir, "pages"))
+    return extract(dealt(read(spark, sf_dir, "pages").select("page_id", "url", "html")))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isthmus.llm import common
-from isthmus.llm.common import crc_not_held, mix, read
+from isthmus.llm.common import crc_not_held, dealt, mix, read, tidy
 
 BUCKETS, DIM, GRAMS = 2**17, 16, (1, 2, 3, 4)
 #: Training sample: rows a language, rows in all (a language of very many has fewer, but one at least), and features of a row, the
@@ -205,6 +205,7 @@ def sample(docs: DataFrame, per_lang: int) -> list[tuple[str, np.ndarray, np.nda
     share = F.least(F.lit(1.0), F.lit(float(mine)) / F.col("n"))
     chosen = seen.join(F.broadcast(counts), "lang").filter((F.pmod("h", F.lit(1_000_000)) / 1e6 < share)).select("text", "lang", "h")
 
+    @tidy
     def run(batches):
         for batch in batches:
             out = []
@@ -237,6 +238,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """docs (doc_id, text) with held_out, lang_pred, score and rejected."""
     sent = docs.sparkSession.sparkContext.broadcast(model and model.sent())  # BUCKETS * min(languages, DIM)
 
+    @tidy
     def run(batches):
         rows, out, langs, floor = sent.value or (np.zeros((BUCKETS, 1), np.float32), np.eye(1), [UNKNOWN], 0.0)
         names = np.array([*langs, UNKNOWN], object)
@@ -255,5 +257,5 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document, by a model of the rows whose crc32(doc_id) mod 3 is not 1."""
-    docs = read(spark, sf_dir, "documents")
-    return predict(docs, train(docs.select("doc_id", "text", "lang")))
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return predict(dealt(docs), train(docs))

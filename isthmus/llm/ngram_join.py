@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from isthmus.llm.common import BITMAP_BITS, FILL, Scratch, census, connected_components, distinct, grams, in_bitmap, joined_evenly, mix, raw, read, word_hashes
+from isthmus.llm.common import BITMAP_BITS, FILL, Scratch, census, connected_components, dealt, distinct, grams, in_bitmap, joined_evenly, mix, raw, read, tidy, word_hashes
 
 #: Bounds of document counts that may order shingles from rare to frequent, and how the next bounds follow from the first.
 LADDER, STEPS = tuple(2**i for i in range(16)), (8, 128)
@@ -93,6 +93,7 @@ def profiles(docs: DataFrame, k: int, num: int, den: int, scratch: Scratch) -> D
     sent = docs.sparkSession.sparkContext.broadcast(census(docs, once, LADDER, scratch, BITMAP_BITS, choose))  # three bitmaps of bounded size
     alone = picked[0] == 1  # what the first bitmap does not mark is in one document only
 
+    @tidy
     def run(batches):
         maps = [np.frombuffer(b, np.uint8) for b in sent.value]
         for batch in batches:
@@ -127,6 +128,7 @@ def texts_of(docs: DataFrame, wanted: DataFrame, k: int, scratch: Scratch) -> Da
     (bitmap,) = census(wanted.select("cid"), ids, (0,), scratch)
     sent = docs.sparkSession.sparkContext.broadcast(bitmap)
 
+    @tidy
     def run(batches):
         marks, packer = np.frombuffer(sent.value, np.uint8), zstandard.ZstdCompressor(level=3)
         for batch in batches:
@@ -153,6 +155,7 @@ def overlaps(docs: DataFrame, pairs: DataFrame, k: int, scratch: Scratch) -> Dat
     uses = centre.unionAll(dealt.select("a", "share", "b", F.col("b").alias("cid")))
     rows = uses.join(texts, "cid").select("a", "share", "b", "packed")
 
+    @tidy
     def run(batches):
         at, base, reader = None, None, zstandard.ZstdDecompressor()
         for batch in batches:
@@ -221,6 +224,7 @@ def contested(posts: DataFrame, sketches: DataFrame, num: int, den: int, nearest
             for s in some.tolist():
                 yield min(cid[r], cid[s]), max(cid[r], cid[s]), cut
 
+    @tidy
     def run(batches):
         held: list[tuple] = []
         for batch in batches:
@@ -327,7 +331,7 @@ def representatives(docs: DataFrame, k: int, num: int, den: int, scratch: Scratc
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four-word shingles, similarity 0.85."""
     with Scratch(spark, "op6") as scratch:
-        return components(plain(read(spark, sf_dir, "documents")), 4, 85, 100, scratch).select("doc_id", "n_shingles", "component_id")
+        return components(dealt(plain(read(spark, sf_dir, "documents"))), 4, 85, 100, scratch).select("doc_id", "n_shingles", "component_id")
 
 
 OP6_SQL = r"""

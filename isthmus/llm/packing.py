@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from isthmus.llm.common import Scratch, partitions, read, tokenizer_path
+from isthmus.llm.common import Scratch, dealt, partitions, read, tidy, tokenizer_path
 from isthmus.llm.tokens import encoded
 
 MAX_LEN = 2048
@@ -26,6 +26,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, max_len: int, with_ids:
     path = tokenizer_path(tokenizer)
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
 
+    @tidy
     def run(batches):
         for batch in batches:
             cols: list[list] = [[] for _ in range(6)]
@@ -105,6 +106,6 @@ def pack(made: DataFrame, max_len: int, scratch: Scratch) -> DataFrame:
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packs the whole table with ``byte_bpe_50k.json`` and end id 0 into sequences of 2048 tokens."""
     with Scratch(spark, "op1") as scratch:
-        made = scratch.table(pieces(read(spark, sf_dir, "documents"), "byte_bpe_50k.json", 0, MAX_LEN), "pieces")
+        made = scratch.table(pieces(dealt(read(spark, sf_dir, "documents").select("doc_id", "text")), "byte_bpe_50k.json", 0, MAX_LEN), "pieces")
         out = pack(made, MAX_LEN, scratch)
         return scratch.table(out, "slots", keep=True)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isthmus.llm.common import WIDE_BITS, Scratch, census, dealt, distinct, grams, in_bitmap, partitions, raw, read, word_hashes
+from isthmus.llm.common import WIDE_BITS, Scratch, census, dealt, distinct, grams, in_bitmap, partitions, raw, read, tidy, word_hashes
 from isthmus.llm.ngram_join import plain
 
 WINDOW, GRAM = 13, 4
@@ -178,6 +178,7 @@ def cut(docs: DataFrame, window: int, maps: object) -> DataFrame:
     row, first word) as bytes; no places for windows of popular minimizers."""
     place = np.dtype([("doc", "<i8"), ("row", "<i8"), ("at", "<i4")])
 
+    @tidy
     def run(batches):
         two, many = (np.frombuffer(b, np.uint8) for b in maps.value)
         for whole in batches:
@@ -237,6 +238,7 @@ def searched(segments: DataFrame, window: int) -> DataFrame:
                     c.append(x)
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["doc_id", "row", "windows", "key", "low"])
 
+    @tidy
     def run(batches):
         held, size, at = {}, 0, None
         for batch in batches:
@@ -280,6 +282,7 @@ def popular_hits(docs: DataFrame, lows: DataFrame, window: int, maps: object) ->
         table = lows.orderBy("key").collect() if n else []
         sent = docs.sparkSession.sparkContext.broadcast(np.array([[r.key for r in table], [r.low for r in table]], np.int64))
 
+        @tidy
         def hits(batches):
             keys, low = sent.value
             for batch in batches:
@@ -293,6 +296,7 @@ def popular_hits(docs: DataFrame, lows: DataFrame, window: int, maps: object) ->
 
         return docs.mapInArrow(hits, "doc_id long, row long, windows array<int>")
 
+    @tidy
     def each(batches):
         for batch in batches:
             for d, row, at, key in places(batch):
@@ -340,6 +344,7 @@ def joined(docs: DataFrame, found: DataFrame) -> DataFrame:
 def digests(docs: DataFrame, found: DataFrame, window: int) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 of every row of docs (doc_id, text, row)."""
 
+    @tidy
     def run(batches):
         for batch in batches:
             n, lost, sha = [], [], []

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isthmus.llm.common import crc_not_held, raw, read
+from isthmus.llm.common import crc_not_held, dealt, raw, read, tidy
 
 #: Bounds of the training sample: rows of either label, and characters of a text that it may hold. The driver gets no more.
 N_TOXIC, N_CLEAN, MAX_CHARS = 900, 1800, 20_000
@@ -313,6 +313,7 @@ def score(docs: DataFrame, crf: Crf | None) -> DataFrame:
                 found[i] += [{"start": before + a, "end": before + b} for a, b in offsets(part, m[first[k] : first[k] + size[k]] > 0.5)]
         return total, top, found
 
+    @tidy
     def run(batches):
         model = sent.value
         types = Types(model) if model else None
@@ -334,4 +335,4 @@ def score(docs: DataFrame, crf: Crf | None) -> DataFrame:
 def op2_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document, by a model of the labelled rows whose crc32(doc_id) mod 3 is not 1, with the offending spans."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return score(docs, train(docs, read(spark, sf_dir, "labels").select("doc_id", "toxic")))
+    return score(dealt(docs), train(docs, read(spark, sf_dir, "labels").select("doc_id", "toxic")))

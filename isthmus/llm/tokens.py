@@ -5,9 +5,13 @@ per worker. A new cut of Latin letters is cut on by the tokenizer's pattern, and
 any other cut goes through the whole tokenizer. The ids are those of the whole text, for a fraction of the time (tests compare both).
 
 Shard format, after the public seekable format of zstandard: one frame with checksum per document (ids as little-endian
-unsigned 32-bit), a skippable frame with the document ids, and a skippable frame with the seek table: per frame compressed
-size, raw size, xxh64 & 0xFFFFFFFF of the raw bytes; footer: frames (u32), flags 0x80, magic 0x8F92EAB1. Any zstandard
+unsigned 32-bit), a skippable frame with the document ids (magic 0x184D2A50), and one with the seek table (0x184D2A5E): per frame
+compressed size, raw size, xxh64 & 0xFFFFFFFF of the raw bytes; footer: frames (u32), flags 0x80, magic 0x8F92EAB1. Any zstandard
 decoder reads a shard as a stream of ids; a reader of some documents opens the table and fetches their frames only.
+
+Shards are files that tasks write and read through Arrow's file systems (local and shared folders, HDFS, S3, GCS). The input may lie in any
+store that Spark reads. A null text is empty; rows without an id come first; repeated rows are documents each, by content; an empty
+table has no shard.
 """
 
 from __future__ import annotations
@@ -18,6 +22,7 @@ import itertools
 import os
 import string
 import struct
+import threading
 import zlib
 from array import array
 from collections.abc import Callable
@@ -31,10 +36,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from isthmus.llm.common import Scratch, partitions, read, shared_folder, tokenizer_path
+from isthmus.llm.common import Scratch, dealt, partitions, read, release, shared_folder, tidy, tokenizer_path
 
 CACHE_CUTS = 700_000
-SKIPPABLE, SEEK_MAGIC = 0x184D2A5E, 0x8F92EAB1
+IDS_FRAME, SEEK_FRAME, SEEK_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 # How byte-level vocabularies write bytes that are no printable characters, and their patterns for Latin text.
 _PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _BYTE_CHARS = {**{b: b for b in _PRINTED}, **{b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}}
@@ -45,6 +50,10 @@ SPACED = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p
 SPACELESS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
 
+#: Seconds after which an encoder that no task uses forgets what it kept.
+IDLE_S = 10.0
+
+
 class Kept(dict):
     """Results of a function by its argument; begins anew when full."""
 
@@ -72,11 +81,36 @@ class Encoder:
         self.drops_space = "Removed" in (str(self.tokenizer.pre_tokenizer) or "")
         self.cuts, self.pieces = Kept(self.cut_ids), Kept(self.model_ids)
         self.model = self.tokenizer.model
+        self.lock, self.users, self.timer = threading.Lock(), 0, None
         # the shortcut for Latin cuts is taken for the two patterns it knows, and no special string is ever cut out of a text
         shape = str(self.tokenizer.pre_tokenizer)
         known = "[\\p{L}]+|[\\p{N}]|" in shape.replace("\\\\", "\\") if self.drops_space else shape == 'ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=True)'
         self.pattern = (SPACELESS if self.drops_space else SPACED) if known else None
 
+    def begins(self) -> None:
+        """A task begins to use this encoder."""
+        with self.lock:
+            self.users += 1
+            if self.timer is not None:
+                self.timer.cancel()
+                self.timer = None
+
+    def ends(self) -> None:
+        """A task ends; if no other begins for a while, the memory is given back."""
+        with self.lock:
+            self.users -= 1
+            if not self.users:
+                self.timer = threading.Timer(IDLE_S, self.forget)
+                self.timer.daemon = True
+                self.timer.start()
+
+    def forget(self) -> None:
+        with self.lock:
+            if not self.users:
+                self.cuts.clear()
+                self.pieces.clear()
+                release()
+
     def cut(self, text: str) -> list[str]:
         """Pieces that the tokenizer would encode one by one: at white space if it drops it; else before single spaces and line ends
         between other characters, since only there its pattern is sure to begin a new match. Those spaces are left out here: every
@@ -140,56 +174,92 @@ def encoder(path: str) -> Encoder:
 def encoded(batch: pa.RecordBatch, path: str, end: int):
     """(id, ids with the end id) for each row of (doc_id, text); a null text is empty."""
     tail, enc = struct.pack("<I", end), encoder(path)
-    for i in range(0, batch.num_rows, 256):
-        part = batch.slice(i, 256)
-        for d, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-            yield d, enc.ids(text or "") + tail
+    enc.begins()
+    try:
+        for i in range(0, batch.num_rows, 256):
+            part = batch.slice(i, 256)
+            for d, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                yield d, enc.ids(text or "") + tail
+    finally:
+        enc.ends()
+
+
+def shard_bounds(docs: DataFrame, n: int) -> np.ndarray:
+    """First ids of n shards at most, but the first, with about as many rows each: approximate quantiles, which are all that reaches the
+    driver. Ids from a bound on are in its shard; rows without an id are in the first."""
+    bounds = docs.stat.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.2 / n) if n > 1 else []
+    return np.unique(np.array(bounds, np.float64).astype(np.int64))
 
 
 def write_token_store(docs: DataFrame, folder: str, tokenizer: str, end_id: int, scratch: Scratch) -> DataFrame:
     """Encodes docs (doc_id, text) and writes shards in ascending doc_id order (null ids first, repeated rows by content).
 
-    folder: a URI that pyarrow and all executors can reach. A task writes under a name of its own and renames at the end, so
+    folder: a URI that Arrow and all executors can reach. A task writes a shard under a name of its own and renames it at the end, so
     a repeated task leaves one whole shard. Returns the manifest: shard, path, n_docs, n_tokens. Empty tables give no shard.
     """
     path = tokenizer_path(tokenizer)
 
+    @tidy
     def frames(batches):
         packer = zstandard.ZstdCompressor(level=1, write_checksum=True)
         for batch in batches:
+            ids = batch.column(0)
+            first = np.searchsorted(bounds, ids.fill_null(0).to_numpy(zero_copy_only=False), side="right")
+            shard = np.where(ids.is_valid().to_numpy(zero_copy_only=False), first, 0).astype(np.int32)
             rows = [(d, packer.compress(x), len(x) // 4, xxhash.xxh64_intdigest(x) & 0xFFFFFFFF) for d, x in encoded(batch, path, end_id)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.binary(), pa.int64(), pa.int64()))], ["doc_id", "frame", "n", "sum"])
-
-    made = scratch.table(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(frames, "doc_id long, frame binary, n long, sum long"), "frames")
+            yield pa.RecordBatch.from_arrays([pa.array(shard), *(pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.binary(), pa.int64(), pa.int64())))], ["shard", "doc_id", "frame", "n", "sum"])
 
+    @tidy
     def shards(batches):
         from pyarrow import fs
 
-        ctx = TaskContext.get()
+        attempt = TaskContext.get().taskAttemptId()
         store, root = fs.FileSystem.from_uri(folder)
-        out, name = None, f"{root}/shard-{ctx.partitionId():06d}.zst"
-        ids, table, tokens = [], [], 0
+        open_shard: OpenShard | None = None
         for batch in batches:
-            for d, frame, n, check in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                if out is None:
-                    store.create_dir(root, recursive=True)
-                    out = store.open_output_stream(part := f"{name}.{ctx.taskAttemptId()}.part")
-                out.write(frame)
-                ids.append(d)
-                table.append(struct.pack("<III", len(frame), 4 * n, check))
-                tokens += n
-        if out is None:
-            return
-        body = struct.pack(f"<{len(ids)}?", *(d is None for d in ids)) + struct.pack(f"<{len(ids)}q", *(d or 0 for d in ids))
-        out.write(struct.pack("<II", SKIPPABLE, len(body)) + body)
-        out.write(struct.pack("<II", SKIPPABLE, 12 * len(table) + 9) + b"".join(table) + struct.pack("<IBI", len(table), 0x80, SEEK_MAGIC))
-        out.close()
-        store.move(part, name)
-        yield pa.RecordBatch.from_arrays([pa.array([ctx.partitionId()], pa.int32()), pa.array([name]), pa.array([len(ids)], pa.int64()), pa.array([tokens], pa.int64())], ["shard", "path", "n_docs", "n_tokens"])
+            for k, d, frame, n, check in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+                if open_shard is None or open_shard.number != k:
+                    if open_shard is not None:
+                        yield open_shard.closed()
+                    open_shard = OpenShard(store, root, k, attempt)
+                open_shard.add(d, frame, n, check)
+        if open_shard is not None:
+            yield open_shard.closed()
 
     n = max(1, partitions(docs.sparkSession))
-    sorted_frames = made.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "n", "frame")
-    return scratch.table(sorted_frames.mapInArrow(shards, "shard int, path string, n_docs long, n_tokens long"), "manifest", keep=True)
+    typed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    bounds = shard_bounds(typed, n)
+    made = typed.mapInArrow(frames, "shard int, doc_id long, frame binary, n long, sum long")
+    dealt_out = made.repartition(n, "shard").sortWithinPartitions("shard", "doc_id", "n", "frame")
+    return scratch.table(dealt_out.mapInArrow(shards, "shard int, path string, n_docs long, n_tokens long"), "manifest", keep=True)
+
+
+class OpenShard:
+    """A shard being written, under a name of its own until it is whole."""
+
+    def __init__(self, store, root: str, number: int, attempt: int) -> None:
+        self.store, self.number, self.name = store, number, f"{root}/shard-{number:06d}.zst"
+        self.part = f"{self.name}.{attempt}.part"
+        store.create_dir(root, recursive=True)
+        self.out = store.open_output_stream(self.part)
+        self.ids: list[int | None] = []
+        self.table: list[bytes] = []
+        self.tokens = 0
+
+    def add(self, doc_id: int | None, frame: bytes, n: int, check: int) -> None:
+        self.out.write(frame)
+        self.ids.append(doc_id)
+        self.table.append(struct.pack("<III", len(frame), 4 * n, check))
+        self.tokens += n
+
+    def closed(self) -> pa.RecordBatch:
+        n = len(self.ids)
+        body = struct.pack(f"<{n}?", *(d is None for d in self.ids)) + struct.pack(f"<{n}q", *(d or 0 for d in self.ids))
+        self.out.write(struct.pack("<II", IDS_FRAME, len(body)) + body)
+        self.out.write(struct.pack("<II", SEEK_FRAME, 12 * n + 9) + b"".join(self.table) + struct.pack("<IBI", n, 0x80, SEEK_MAGIC))
+        self.out.close()
+        self.store.move(self.part, self.name)
+        return pa.RecordBatch.from_arrays([pa.array([self.number], pa.int32()), pa.array([self.name]), pa.array([n], pa.int64()), pa.array([self.tokens], pa.int64())], ["shard", "path", "n_docs", "n_tokens"])
 
 
 class Shard:
@@ -225,6 +295,7 @@ def read_token_store(manifest: DataFrame, folder: str, wanted: frozenset[int] |
     """doc_id, start, n_tokens, ids_crc32 and ids (binary) of all documents, or of a stated set of ids."""
     based = manifest.withColumn("base", F.sum("n_tokens").over(Window.orderBy("shard")) - F.col("n_tokens"))  # a row per shard
 
+    @tidy
     def rows(batches):
         for batch in batches:
             for path, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -244,5 +315,6 @@ def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes the whole table with ``word_bpe_49k.json`` and end id 1, and reads every document back."""
     with Scratch(spark, "op3") as scratch:
         folder = f"{shared_folder(spark)}/isthmus/{scratch.root.rsplit('/', 1)[1]}-store"
-        manifest = write_token_store(read(spark, sf_dir, "documents"), folder, "word_bpe_49k.json", 1, scratch)
+        Scratch.left.append(folder)  # with the other tables that the result reads
+        manifest = write_token_store(dealt(read(spark, sf_dir, "documents").select("doc_id", "text")), folder, "word_bpe_49k.json", 1, scratch)
         return read_token_store(manifest, folder).drop("ids")

@@ -8,9 +8,9 @@ The document by n-gram incidence matrix is multiplied with its transpose block b
   that many documents share seldom come into it. Where the bitmap tells, shingles of one document are not kept.
 * The product of these columns says where overlaps can reach the bound at all. First each n-gram's rows are multiplied with one of them
   only, its pivot, so a group of copies gives as many pairs as members; pairs outside the size bounds are discarded. Then n-grams whose
-  classes are still in different components are multiplied in full, the classes outside its largest component with all others, block by
+  classes are still in different components are multiplied in full, the classes outside its largest component with all, block against
   block: a parity sketch of as many bits as the set has shingles bounds the symmetric difference from below.
-* At the places that are left, whole rows are multiplied (a masked product): a block is a row with up to BLOCK partners, its overlap
+* At the places that are left, whole rows are multiplied (a masked product): a block is a row with about SHARE partners at most, its overlap
   counts accumulate over all shingles, and a pair is a link if den * overlap >= num * (n + m - overlap). This goes on until no place is
   left that could join two components, so no link is lost.
 
@@ -31,8 +31,9 @@ from isthmus.llm.common import BITMAP_BITS, FILL, Scratch, census, connected_com
 
 #: Bounds of document counts that may order shingles from rare to frequent, and how the next bounds follow from the first.
 LADDER, STEPS = tuple(2**i for i in range(16)), (8, 128)
-#: Rows of an n-gram that are multiplied at once; rounds in which a class reports its nearest foreign partner only.
-BLOCK, NEAREST_ROUNDS = 2000, 1
+#: Rows of an n-gram that are multiplied at once; partners of one row in one task; rounds in which a class reports its nearest foreign
+#: partner only.
+BLOCK, SHARE, NEAREST_ROUNDS = 2000, 256, 1
 
 
 def shingles(ids: np.ndarray | None, k: int) -> np.ndarray:
@@ -145,10 +146,10 @@ def texts_of(docs: DataFrame, wanted: DataFrame, k: int, scratch: Scratch) -> Da
 
 def overlaps(docs: DataFrame, pairs: DataFrame, k: int, scratch: Scratch) -> DataFrame:
     """The product of whole rows at the places pairs (a, b): a, b, their sizes n and m, and overlap. A class with many partners is split
-    in blocks of about BLOCK, each with its own copy of the row."""
+    in blocks of about SHARE, each with its own copy of the row."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid"))
     texts = scratch.table(texts_of(docs, wanted, k, scratch), "texts")
-    shares = F.ceil(F.count("*").over(Window.partitionBy("a")) / F.lit(BLOCK)).cast("int")
+    shares = F.ceil(F.count("*").over(Window.partitionBy("a")) / F.lit(SHARE)).cast("int")
     dealt = pairs.select("a", "b").withColumn("share", F.pmod(F.xxhash64("b"), shares).cast("int"))
     centre = dealt.select("a", "share").distinct().select("a", "share", F.lit(None).cast("long").alias("b"), F.col("a").alias("cid"))
     # one row per use of a text, so that texts are joined once
@@ -186,52 +187,58 @@ def contested(posts: DataFrame, sketches: DataFrame, num: int, den: int, nearest
     """(a, b, cut) of classes in different components that an n-gram and the bounds allow, from posts (gram, cid, comp, n) and
     sketches (cid, sketch).
 
-    An n-gram's classes outside its largest component look for partners, in blocks of about BLOCK that each meet all rows of the n-gram;
-    with nearest, each reports the nearest one only, and cut where others were left for later."""
+    An n-gram's classes outside its largest component look for partners among all its classes, block against block: up to BLOCK or so of
+    either in a task. With nearest, each reports the nearest one of a block only, and cut where others were left for later."""
     shares = posts.groupBy("gram", "comp").agg(F.count("*").alias("n"))
     sizes = shares.groupBy("gram").agg(F.max(F.struct("n", "comp")).alias("most"), F.sum("n").alias("all"), F.count("*").alias("comps")).filter("comps > 1")
-    sizes = sizes.select("gram", F.col("most.comp").alias("main"), F.ceil((F.col("all") - F.col("most.n")) / F.lit(BLOCK)).cast("int").alias("blocks"))
-    dealt = posts.join(sizes, "gram").withColumn("mine", F.when(F.col("comp") != F.col("main"), F.pmod(F.xxhash64("cid"), F.col("blocks"))).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("gram", "block", F.coalesce("mine", F.lit(-1)).alias("mine"), "cid", "comp", "n").join(sketches, "cid").select("gram", "block", "mine", "cid", "comp", "n", "sketch")
+    blocks = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
+    sizes = sizes.select("gram", F.col("most.comp").alias("main"), blocks(F.col("all") - F.col("most.n")).alias("lookers"), blocks(F.col("all")).alias("parts"))
+    placed = posts.join(sizes, "gram").withColumn("looks", F.col("comp") != F.col("main"))
+    looker, part = F.pmod(F.xxhash64("cid"), F.col("lookers")).cast("int"), F.pmod(F.xxhash64("cid", F.lit(1)), F.col("parts")).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    partners = placed.select("gram", every("lookers").alias("looker"), part.alias("part"), F.lit(False).alias("asks"), "looks", "cid", "comp", "n")
+    lookers = placed.filter("looks").select("gram", looker.alias("looker"), every("parts").alias("part"), F.lit(True).alias("asks"), "looks", "cid", "comp", "n")
+    dealt = partners.unionAll(lookers).join(sketches, "cid").select("gram", "looker", "part", "asks", "looks", "cid", "comp", "n", "sketch")
 
     def group(rows: list[tuple]):
-        block = rows[0][1]
-        rows.sort(key=lambda r: (r[5], r[3]))
-        mine, cid, comp, n = (np.array([r[c] for r in rows]) for c in (2, 3, 4, 5))
-        raws = [np.frombuffer(r[6], np.uint64) for r in rows]
+        asking, asked = ([r for r in rows if r[3] is asks] for asks in (True, False))
+        if not asking or not asked:
+            return
+        asked.sort(key=lambda r: (r[7], r[5]))
+        looks, cid, comp, n = (np.array([r[c] for r in asked]) for c in (4, 5, 6, 7))
+        raws = [np.frombuffer(r[8], np.uint64) for r in asked]
         width = np.array([len(r) for r in raws])
         at: dict[int, np.ndarray] = {}
-        low, high = np.searchsorted(n, least(n, num, den)), np.searchsorted(n, n * den // num, side="right")
-        for r in np.flatnonzero(mine == block).tolist():
-            some = np.arange(low[r], high[r])
-            fine = comp[some] != comp[r]
+        for _, _, _, _, _, mine, home, size, packed in asking:
+            some = np.arange(np.searchsorted(n, least(size, num, den)), np.searchsorted(n, size * den // num, side="right"))
+            fine = comp[some] != home
             if not nearest:
-                fine &= (mine[some] < 0) | (mine[some] > block) | (mine[some] == block) & (some > r)  # from one side, if both look
+                fine &= ~looks[some] | (cid[some] > mine)  # from one side, if both look
             some = some[fine]
             if not len(some):
                 continue
-            apart = np.empty(len(some), np.int64)
+            own, apart = np.frombuffer(packed, np.uint64), np.empty(len(some), np.int64)
             for w in np.unique(width[some]).tolist():
-                v, here = min(w, int(width[r])), width[some] == w
+                v, here = min(w, len(own)), width[some] == w
                 if v not in at:
                     at[v] = np.stack([folded(x, v) if len(x) >= v else np.zeros(v, np.uint64) for x in raws])
-                apart[here] = np.bitwise_count(at[v][some[here]] ^ at[v][r]).sum(1)
-            near = apart * (den + num) <= (den - num) * (n[some] + n[r])
+                apart[here] = np.bitwise_count(at[v][some[here]] ^ folded(own, v)).sum(1)
+            near = apart * (den + num) <= (den - num) * (n[some] + size)
             some, apart = some[near], apart[near]
             cut = nearest and len(some) > 1
             if cut:
                 some = some[[np.lexsort((cid[some], apart))[0]]]
             for s in some.tolist():
-                yield min(cid[r], cid[s]), max(cid[r], cid[s]), cut
+                yield min(mine, cid[s]), max(mine, cid[s]), cut
 
     @tidy
     def run(batches):
         held: list[tuple] = []
         for batch in batches:
-            cols = [batch.column(i).to_pylist() for i in range(7)]
+            cols = [batch.column(i).to_pylist() for i in range(9)]
             out = []
             for row in zip(*cols, strict=True):
-                if held and held[0][:2] != row[:2]:
+                if held and held[0][:3] != row[:3]:
                     out += group(held)
                     held = []
                 held.append(row)
@@ -242,7 +249,7 @@ def contested(posts: DataFrame, sketches: DataFrame, num: int, den: int, nearest
     def told(out: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([int(r[0]) for r in out], pa.int64()), pa.array([int(r[1]) for r in out], pa.int64()), pa.array([bool(r[2]) for r in out], pa.bool_())], ["a", "b", "cut"])
 
-    found = dealt.repartition("gram", "block").sortWithinPartitions("gram", "block").mapInArrow(run, "a long, b long, cut boolean")
+    found = dealt.repartition("gram", "looker", "part").sortWithinPartitions("gram", "looker", "part").mapInArrow(run, "a long, b long, cut boolean")
     return found.groupBy("a", "b").agg(F.max("cut").alias("cut"))
 
 

@@ -77,12 +77,13 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        # texts that may hold an added token's string go through the whole tokenizer
+        self.added = sorted({t.content[:2] for t in self.tokenizer.get_added_tokens_decoder().values()})
         self.drops_space = "Removed" in (str(self.tokenizer.pre_tokenizer) or "")
         self.cuts, self.pieces = Kept(self.cut_ids), Kept(self.model_ids)
         self.model = self.tokenizer.model
         self.lock, self.users, self.timer = threading.Lock(), 0, None
-        # the shortcut for Latin cuts is taken for the two patterns it knows, and no special string is ever cut out of a text
+        # the shortcut for Latin cuts is taken for the two patterns it knows
         shape = str(self.tokenizer.pre_tokenizer)
         known = "[\\p{L}]+|[\\p{N}]|" in shape.replace("\\\\", "\\") if self.drops_space else shape == 'ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=True)'
         self.pattern = (SPACELESS if self.drops_space else SPACED) if known else None
@@ -159,6 +160,8 @@ class Encoder:
         return array("I", self.tokenizer.encode(cut, add_special_tokens=False).ids).tobytes()
 
     def ids(self, text: str) -> bytes:
+        if any(a in text for a in self.added):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         cuts = self.cut(text)
         if self.drops_space or not cuts:
             return b"".join(map(self.cuts.__getitem__, cuts))

@@ -35,13 +35,13 @@ def let(value: Column, body) -> Column:
 
 
 def repeated_words(words: Column) -> Column:
-    """Words in 3-word windows found twice or more. A window's hash gives up its low bits to the window's place; after sorting,
-    equal hashes are neighbours, and the words themselves are compared. Linear but for the sort, for texts of any length."""
+    """Words in 3-word windows found twice or more. Most texts have none, which the number of distinct hashes of their windows tells. In
+    the others a window's hash gives up its low bits to the window's place; after sorting, equal hashes are neighbours, and the words
+    themselves are compared. Linear but for the sort, for texts of any length."""
 
     def covered(w: Column) -> Column:
         n = F.size(w) - 2
-        bits = F.length(F.bin(n)).cast("int")
-        mask = F.pow(F.lit(2.0), bits).cast("long") - 1
+        mask = F.pow(F.lit(2.0), F.length(F.bin(n)).cast("int")).cast("long") - 1
 
         def places(s: Column, m: Column) -> Column:
             at = lambda i: F.element_at(s, i + 1).bitwiseAND(m)  # noqa: E731  i from 0
@@ -51,13 +51,15 @@ def repeated_words(words: Column) -> Column:
             found = F.filter(s, lambda x, i: ((i > 0) & same(i, F.greatest(i - 1, F.lit(0)))) | ((i + 1 < F.size(s)) & same(i, F.least(i + 1, F.size(s) - 1))))
             return F.sort_array(F.transform(found, lambda x: x.bitwiseAND(m)))
 
-        def keyed(m: Column) -> Column:
-            coded = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.xxhash64(F.element_at(w, i + 1), F.element_at(w, i + 2), F.element_at(w, i + 3)).bitwiseAND(F.bitwise_not(m)).bitwiseOR(i.cast("long")))
-            return let(F.sort_array(coded), lambda s: places(s, m))
+        def counted(hashes: Column) -> Column:
+            coded = lambda m: F.transform(hashes, lambda h, i: h.bitwiseAND(F.bitwise_not(m)).bitwiseOR(i.cast("long")))
+            found = let(mask, lambda m: let(F.sort_array(coded(m)), lambda s: places(s, m)))
+            start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end"))
+            step = lambda a, p: F.struct((a["n"] + p + 3 - F.greatest(p, a["end"])).alias("n"), (p + 3).alias("end"))
+            return F.when(F.size(F.array_distinct(hashes)) < n, F.aggregate(found, start, step, lambda a: a["n"])).otherwise(F.lit(0).cast("long"))
 
-        start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end"))
-        step = lambda a, p: F.struct((a["n"] + p + 3 - F.greatest(p, a["end"])).alias("n"), (p + 3).alias("end"))
-        return F.when(n >= 2, F.aggregate(let(mask, keyed), start, step, lambda a: a["n"])).otherwise(F.lit(0).cast("long"))
+        windows = F.transform(F.slice(w, F.lit(1), n), lambda x, i: F.xxhash64(x, F.element_at(w, i + 2), F.element_at(w, i + 3)))
+        return F.when(n >= 2, let(windows, counted)).otherwise(F.lit(0).cast("long"))
 
     return let(words, covered)
 

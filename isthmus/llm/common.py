@@ -252,7 +252,7 @@ def grams(ids: np.ndarray, k: int) -> np.ndarray:
 #: as long as it may grow, and counts as sparse down to FILL. A false entry costs time, never a result.
 LEAST_BITS, BITMAP_BITS, WIDE_BITS, ROOM, FILL = 20, 27, 30, 64, 8
 #: Hashes that a task gathers before it sorts and sends them.
-CENSUS_FLUSH = 3_000_000
+CENSUS_FLUSH = 1_000_000
 COUNT_MAX = 65_535
 
 

@@ -96,12 +96,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Inputs of up to so many bytes are dealt to all cores before they are worked on.
-SMALL_INPUT = 64 << 20
+#: Tables of up to so many bytes are dealt to all cores before they are worked on.
+SMALL_INPUT = 24 << 20
 
 
 def dealt(df: DataFrame) -> DataFrame:
-    """df as it is, or, if it is small, dealt round robin: a small file is often one row group, which one task alone would read."""
+    """A table as it was read (all columns, so that its size is that of its files), or, if it is small, dealt round robin: a small file is
+    often one row group, which one task alone would read."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return df.repartition(max(1, df.sparkSession.sparkContext.defaultParallelism)) if size <= SMALL_INPUT else df
 

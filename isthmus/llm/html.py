@@ -319,4 +319,4 @@ def extract(pages: DataFrame) -> DataFrame:
 
 def op10_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page, from its whole html."""
-    return extract(dealt(read(spark, sf_dir, "pages").select("page_id", "url", "html")))
+    return extract(dealt(read(spark, sf_dir, "pages")))

@@ -257,5 +257,5 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document, by a model of the rows whose crc32(doc_id) mod 3 is not 1."""
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return predict(dealt(docs), train(docs))
+    docs = read(spark, sf_dir, "documents")
+    return predict(dealt(docs), train(docs.select("doc_id", "text", "lang")))

@@ -338,7 +338,7 @@ def representatives(docs: DataFrame, k: int, num: int, den: int, scratch: Scratc
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four-word shingles, similarity 0.85."""
     with Scratch(spark, "op6") as scratch:
-        return components(dealt(plain(read(spark, sf_dir, "documents"))), 4, 85, 100, scratch).select("doc_id", "n_shingles", "component_id")
+        return components(plain(dealt(read(spark, sf_dir, "documents"))), 4, 85, 100, scratch).select("doc_id", "n_shingles", "component_id")
 
 
 OP6_SQL = r"""

@@ -106,6 +106,6 @@ def pack(made: DataFrame, max_len: int, scratch: Scratch) -> DataFrame:
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packs the whole table with ``byte_bpe_50k.json`` and end id 0 into sequences of 2048 tokens."""
     with Scratch(spark, "op1") as scratch:
-        made = scratch.table(pieces(dealt(read(spark, sf_dir, "documents").select("doc_id", "text")), "byte_bpe_50k.json", 0, MAX_LEN), "pieces")
+        made = scratch.table(pieces(dealt(read(spark, sf_dir, "documents")), "byte_bpe_50k.json", 0, MAX_LEN), "pieces")
         out = pack(made, MAX_LEN, scratch)
         return scratch.table(out, "slots", keep=True)

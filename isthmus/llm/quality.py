@@ -153,7 +153,7 @@ def counted_documents(docs: DataFrame, scratch: Scratch, keep: bool = False) ->
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole table of documents, with all labels of quality as the holdout."""
     with Scratch(spark, "op5") as scratch:
-        counted = counted_documents(dealt(read(spark, sf_dir, "documents").select("doc_id", "lang", "text")), scratch, keep=True)
+        counted = counted_documents(dealt(read(spark, sf_dir, "documents")).select("doc_id", "lang", "text"), scratch, keep=True)
         return verdicts(counted, read(spark, sf_dir, "labels").select("doc_id", "quality")).select(*OUT)
 
 

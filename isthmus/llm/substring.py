@@ -396,7 +396,7 @@ def without_repeats(docs: DataFrame, window: int, scratch: Scratch) -> DataFrame
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of 13 words."""
     with Scratch(spark, "op7") as scratch:
-        docs = dealt(plain(read(spark, sf_dir, "documents")))
+        docs = plain(dealt(read(spark, sf_dir, "documents")))
         found = scratch.table(repeats(docs, WINDOW, scratch), "found", keep=True)
         return digests(docs, found, WINDOW)
 

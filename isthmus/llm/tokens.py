@@ -319,5 +319,5 @@ def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     with Scratch(spark, "op3") as scratch:
         folder = f"{shared_folder(spark)}/isthmus/{scratch.root.rsplit('/', 1)[1]}-store"
         Scratch.left.append(folder)  # with the other tables that the result reads
-        manifest = write_token_store(dealt(read(spark, sf_dir, "documents").select("doc_id", "text")), folder, "word_bpe_49k.json", 1, scratch)
+        manifest = write_token_store(dealt(read(spark, sf_dir, "documents")), folder, "word_bpe_49k.json", 1, scratch)
         return read_token_store(manifest, folder).drop("ids")

@@ -334,5 +334,5 @@ def score(docs: DataFrame, crf: Crf | None) -> DataFrame:
 
 def op2_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document, by a model of the labelled rows whose crc32(doc_id) mod 3 is not 1, with the offending spans."""
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return score(dealt(docs), train(docs, read(spark, sf_dir, "labels").select("doc_id", "toxic")))
+    docs = read(spark, sf_dir, "documents")
+    return score(dealt(docs), train(docs.select("doc_id", "text"), read(spark, sf_dir, "labels").select("doc_id", "toxic")))

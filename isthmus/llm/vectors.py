@@ -8,9 +8,10 @@ size gives as many rows as it has members. Passes run some at a time, so that th
 
 The number of passes follows the measured crowding: after one sort, the bits that each class shares with the one a window on tell how
 many bits a pair must agree in, and among the most crowded tenth of the classes a pair at the threshold is missed with the stated
-probability on average. Tables of up to EXACT classes, and those so crowded that their passes would cost more, are compared block by
-block, and nothing is missed. Inside a component all pairs are then counted, in blocks, so windows cap no count: that is quadratic in the
-distinct vectors of one component, and in nothing else. Recall is measured in tests.
+probability on average. An exact check follows at every size: classes in different components are compared block by block, so what the
+passes never met is linked too, and no link depends on how many classes there are. It is quadratic in the classes, with a small constant
+(README); EXACT = 0 leaves the passes alone, whose recall is measured in tests. Inside a component all pairs are then counted, in blocks:
+quadratic in the distinct vectors of one component. Pairs within rounding of the threshold are decided by one sum wherever they are met.
 """
 
 from __future__ import annotations
@@ -29,16 +30,21 @@ from isthmus.llm.common import Scratch, connected_components, joined_evenly, par
 
 WINDOW, BITS = 1024, 64
 MISS = 0.01
-#: Classes that are compared in blocks at any rate; classes a pass up to which blocks are cheaper than the passes.
-EXACT, PER_PASS = 4096, 512
+#: Whether the exact check follows the passes. If so a pass is run for so many classes, at most those that the crowding asks for: on smaller
+#: tables the check costs less than more passes before it.
+EXACT, PER_PASS = 1, 2**14
 #: Classes up to which one task orders a whole pass: a bound on its memory (a code each). More are dealt by ranges of the key.
 PASS_ROWS = 2**17
 #: Passes run at once shuffle at most so many times the vectors' bytes, or SMALL_BYTES.
 BATCH, SMALL_BYTES = 2, 2**26
 #: Components of vectors in one block, and vectors at most.
 BLOCK_VALUES, BLOCK = 2**19, 8192
-#: Rows multiplied at once, and float32 rounding of such a product.
-STEP, SLACK = 512, 1e-5
+#: Files of blocks that the exact check pairs, and their bytes: more files where they would be larger.
+FILES, FILE_BYTES = 64, 2**26
+#: Components that screen products of longer vectors.
+SCREEN = 32
+#: Rows multiplied at once, and float32 rounding of such a product, to which each component adds.
+STEP, SLACK, SLACK_EACH = 512, 1e-5, 2.0**-23
 
 
 def passes_for(shared: np.ndarray, threshold: float, miss: float = MISS) -> int:
@@ -67,13 +73,18 @@ def most_crowded(shared: np.ndarray, share: float = 0.1) -> np.ndarray:
 # ---------------------------------------------------------------- vectors, classes and codes
 
 
-def units(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows in double precision and of length 1, and which rows are vectors that can link: finite and not zero."""
+def scaled(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows in double precision, by powers of two so that no square overflows, and which rows are vectors that can link: finite and not zero."""
     x = x.astype(np.float64)
     top = np.abs(x).max(1)
     fine = np.isfinite(x).all(1) & (top > 0)
     x = np.where(fine[:, None], x, 1.0)
-    x = np.ldexp(x, -np.frexp(np.where(fine, top, 1.0))[1][:, None])  # exact, so that no square overflows
+    return np.ldexp(x, -np.frexp(np.where(fine, top, 1.0))[1][:, None]), fine
+
+
+def units(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of length 1, as scaled."""
+    x, fine = scaled(x)
     return x / np.linalg.norm(x, axis=1, keepdims=True) + 0.0, fine
 
 
@@ -81,6 +92,50 @@ def vectors_of(raws: list[bytes], kind: str) -> np.ndarray:
     return units(np.frombuffer(b"".join(raws), kind).reshape(len(raws), -1))[0]
 
 
+def reach(x: np.ndarray, y: np.ndarray, i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
+    """Which of x[i] and y[j], vectors as given, have a cosine of at least the threshold: summed in double precision component by
+    component, as SQL does, so that a pair's answer does not depend on what is compared beside it."""
+    out, step = np.empty(len(i), np.bool_), max(1, BLOCK_VALUES // x.shape[1])
+    for k in range(0, len(i), step):
+        u, v = scaled(x[i[k : k + step]])[0], scaled(y[j[k : k + step]])[0]
+        dot, a, b = (np.add.accumulate(p, axis=1)[:, -1] for p in (u * v, u * u, v * v))
+        out[k : k + step] = dot / np.sqrt(a * b) >= threshold
+    return out
+
+
+class Vectors:
+    """Vectors of one length as given, of length 1 in single precision, and their heads: components up to SCREEN and the length of the
+    rest, so that a product of heads is never below that of the vectors."""
+
+    def __init__(self, raw: bytes, n: int, kind: str) -> None:
+        self.raw = np.frombuffer(raw, kind).reshape(n, -1)
+        self.unit = units(self.raw)[0].astype(np.float32)
+        self.slack = SLACK + self.raw.shape[1] * SLACK_EACH
+        self.screens = self.raw.shape[1] > 1.5 * SCREEN
+        self.head = np.concatenate([self.unit[:, :SCREEN], np.linalg.norm(self.unit[:, SCREEN:], axis=1, keepdims=True)], 1) if self.screens else self.unit
+
+
+def close(x: Vectors, y: Vectors, rows: slice | np.ndarray, cols: slice | np.ndarray, threshold: float) -> np.ndarray:
+    """Which of x[rows] and y[cols] reach the threshold."""
+    if x.screens:
+        out = x.head[rows] @ y.head[cols].T >= threshold - x.slack
+        r, c = np.divmod(np.flatnonzero(out), out.shape[1])
+        x.screens = len(r) <= out.size // 64  # else whole products are cheaper, here and likely for the rest
+    if x.screens:
+        at, to = np.arange(len(x.raw))[rows][r], np.arange(len(y.raw))[cols][c]
+        dots = np.einsum("ij,ij->i", x.unit[at], y.unit[to])
+        out[r, c] = dots >= threshold - x.slack
+        some = np.flatnonzero(out[r, c] & (dots < threshold + x.slack))
+        out[r[some], c[some]] = reach(x.raw, y.raw, at[some], to[some], threshold)
+        return out
+    dots = x.unit[rows] @ y.unit[cols].T
+    out = dots >= threshold - x.slack
+    if out.any():
+        r, c = np.nonzero(out & (dots < threshold + x.slack))
+        out[r, c] = reach(x.raw, y.raw, np.arange(len(x.raw))[rows][r], np.arange(len(y.raw))[cols][c], threshold)
+    return out
+
+
 def classes(vectors: DataFrame) -> tuple[DataFrame, str]:
     """vec_id, key and vec (components as bytes) of the rows of vectors (vec_id, embedding), and the components' kind; key is null where
     nothing links. Floats stay floats, all else is read as doubles."""
@@ -177,7 +232,7 @@ def window_links(rows: Sorted, begin: int, threshold: float, window: int, joined
     for a in range(begin, len(rows.ids), STEP):
         b, lo = min(a + STEP, len(rows.ids)), max(0, a - window)
         error = float(rows.error[lo:b].max())
-        band = error * (2 + error) + SLACK
+        band = error * (2 + error) + SLACK + rows.x.shape[1] * SLACK_EACH
         r, c = np.nonzero(rows.x[a:b] @ rows.x[lo:b].T >= threshold - band)
         r, c = r + a, c + lo
         fine = (c < r) & (r - c <= window)
@@ -190,7 +245,7 @@ def window_links(rows: Sorted, begin: int, threshold: float, window: int, joined
         sure = dots >= threshold + band
         label = np.array([joined.root(i) for i in rows.ids[lo:b].tolist()])
         at, first = np.unique(r[sure], return_index=True)
-        for i, partners in zip(at.tolist(), np.split(c[sure], first[1:]), strict=True):
+        for i, partners in zip(at.tolist(), np.split(c[sure], first[1:]) if len(at) else [], strict=True):
             theirs = label[partners - lo]
             if (theirs != label[i - lo]).any():
                 names, k = np.unique(theirs, return_index=True)
@@ -312,7 +367,11 @@ def verified(pairs: DataFrame, reps: DataFrame, threshold: float, kind: str) ->
     def run(batches):
         for batch in batches:
             a, b = (batch.column(i).to_pylist() for i in (2, 3))
-            near = np.array([len(v) == len(w) and float(np.dot(*vectors_of([v, w], kind))) >= threshold for v, w in zip(a, b, strict=True)], np.bool_)
+            near = np.zeros(len(a), np.bool_)
+            for size in {len(v) for v in a}:
+                some = [i for i, v in enumerate(a) if size == len(v) == len(b[i])]
+                x, y = (np.frombuffer(b"".join([c[i] for i in some]), kind).reshape(-1, size // int(kind[-1])) for c in (a, b))
+                near[some] = reach(x, y, np.arange(len(x)), np.arange(len(x)), threshold)
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(near)) for i in (0, 1)], ["a", "b"])
 
     one = reps.select(F.col("cid").alias("a"), F.col("vec").alias("va"))
@@ -344,11 +403,11 @@ def measured_passes(reps: DataFrame, n: int, threshold: float, window: int, miss
 
 
 def links(reps: DataFrame, threshold: float, kind: str, scratch: Scratch, window: int = WINDOW, miss: float = MISS) -> DataFrame:
-    """Pairs (a, b) of classes whose components are those of all verified pairs. reps: cid, vec."""
+    """Pairs (a, b) of classes whose components are those of all pairs at the threshold; without the exact check, of all pairs that the
+    passes met. reps: cid, vec."""
     n, size = reps.agg(F.count("*"), F.sum(F.length("vec"))).first()
-    n_passes = measured_passes(reps, n, threshold, window, miss, kind) if n > EXACT else 0
-    if n <= max(EXACT, PER_PASS * n_passes):
-        return all_links(reps, n, threshold, kind)
+    most = max(1, n // PER_PASS) if EXACT and PER_PASS else n
+    n_passes = min(most, measured_passes(reps, n, threshold, window, miss, kind)) if most > 1 and n > window else 1
     row = size / n * 1.5 / int(kind[-1]) + 40
     some, parts = max(1, int(max(BATCH * size, SMALL_BYTES) / (n * row))), []
     for low in range(0, n_passes, some):
@@ -359,7 +418,12 @@ def links(reps: DataFrame, threshold: float, kind: str, scratch: Scratch, window
     found = parts[0]
     for p in parts[1:]:
         found = found.unionAll(p)
-    return found.filter("sure").select("a", "b").unionAll(verified(found.filter("not sure"), reps, threshold, kind))
+    pairs = found.filter("sure").select("a", "b").unionAll(verified(found.filter("not sure"), reps, threshold, kind))
+    if not EXACT:
+        return pairs
+    comps = scratch.table(connected_components(scratch.table(pairs, "links"), scratch), "components")
+    rooted = reps.join(comps, F.col("cid") == F.col("node"), "left").select("cid", F.coalesce("root", "cid").alias("root"), "vec")
+    return comps.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(unmet(rooted, n, size, threshold, kind, scratch))
 
 
 # ---------------------------------------------------------------- blocks
@@ -379,28 +443,93 @@ def in_blocks(rows: DataFrame, size: Column, kind: str, *by: str) -> DataFrame:
     return dealt.withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other")}).drop("other")
 
 
-def all_links(reps: DataFrame, n: int, threshold: float, kind: str) -> DataFrame:
-    """As links, of all pairs: block against block, each class sent once per block. A pair of blocks reports what joins anything new."""
+class Rooted(Vectors):
+    """A block of the exact check: cid and root of its vectors too, in order of the root."""
+
+    def __init__(self, cids: bytes, roots: bytes, vecs: bytes, kind: str) -> None:
+        self.ids = np.frombuffer(cids, np.int64)
+        self.names, self.at = np.unique(np.frombuffer(roots, np.int64), return_inverse=True)
+        super().__init__(vecs, len(self.ids), kind)
+
+    def labels(self, joined: Joined) -> np.ndarray:
+        return np.array([joined.root(i) for i in self.names.tolist()], np.int64)[self.at]
+
+
+def unmet_links(x: Rooted, y: Rooted, threshold: float, joined: Joined) -> list[tuple[int, int]]:
+    """Pairs of x and y that join anything new, as many as join all that reaches the threshold."""
+    one = x is y
+    mine, out = x.labels(joined), []
+    theirs = mine if one else y.labels(joined)
+    for a in range(0, len(mine), STEP):
+        for b in range(a if one else 0, len(theirs), 4 * STEP):
+            rows, cols = slice(a, a + STEP), slice(b, b + 4 * STEP)
+            if (mine[rows] == mine[a]).all() and (theirs[cols] == mine[a]).all():
+                continue
+            met = close(x, y, rows, cols, threshold)
+            for r in np.flatnonzero(met.any(1)).tolist():
+                partners = b + np.flatnonzero(met[r])
+                partners = partners[theirs[partners] != mine[a + r]]
+                if not len(partners):
+                    continue
+                names, first = np.unique(theirs[partners], return_index=True)
+                out += [(int(x.ids[a + r]), i) for i in y.ids[partners[first]].tolist()]
+                names = np.append(names, mine[a + r])
+                for i in names[:-1].tolist():
+                    joined.join(i, int(names[-1]))
+                root = joined.root(int(names[-1]))
+                for label in (mine,) if one else (mine, theirs):
+                    label[np.isin(label, names)] = root
+    return out
 
-    def block(table: pa.Table) -> pa.Table:
-        mine, cid = table.column("mine").to_numpy(), table.column("cid").to_numpy()
-        x = vectors_of(table.column("vec").to_pylist(), kind)
-        lo = mine == mine.min()
-        a, b = np.flatnonzero(lo), np.flatnonzero(lo if lo.all() else ~lo)
-        label, out = np.arange(len(cid)), []
-        for k in range(0, len(a), STEP):
-            near = x[a[k : k + STEP]] @ x[b].T >= threshold
-            for r in np.flatnonzero(near.any(1)).tolist():
-                at, some = a[k + r], b[near[r]]
-                names, first = np.unique(label[some], return_index=True)
-                new = names != label[at]
-                if new.any():
-                    out += [(cid[at], c) for c in cid[some[first[new]]]]
-                    label[np.isin(label, names)] = label[at]
-        return pa.table({"a": pa.array([int(p[0]) for p in out], pa.int64()), "b": pa.array([int(p[1]) for p in out], pa.int64())})
 
-    dealt = in_blocks(reps.select("cid", "vec", F.length("vec").alias("dim")), F.lit(n), kind).select("dim", "i", "j", "mine", "cid", "vec")
-    return dealt.groupBy("dim", "i", "j").applyInArrow(block, "a long, b long")
+def unmet(reps: DataFrame, n: int, size: int, threshold: float, kind: str, scratch: Scratch) -> DataFrame:
+    """Pairs (a, b) that join the components of n classes (cid, root, vec; of size bytes) into those of all pairs at the threshold.
+
+    Blocks are written once and read again for every pair of files, so nothing quadratic is shuffled or kept."""
+    width = int(kind[-1])
+    rows_of = lambda length: max(1, min(BLOCK, BLOCK_VALUES * width // length))
+
+    @tidy
+    def pack(batches):
+        held, number = {}, TaskContext.get().partitionId() << 32
+
+        def block(length: int) -> pa.RecordBatch:
+            rows = sorted(held.pop(length), key=lambda r: r[1])
+            cols = [np.array([r[i] for r in rows], np.int64).tobytes() for i in (0, 1)] + [b"".join([r[2] for r in rows])]
+            return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([length]), *(pa.array([c], pa.binary()) for c in cols)], ["block", "length", "cids", "roots", "vecs"])
+
+        for batch in batches:
+            for row in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                length = len(row[2])
+                held.setdefault(length, []).append(row)
+                if len(held[length]) >= rows_of(length):
+                    yield block(length)
+                    number += 1
+        for length in list(held):
+            yield block(length)
+            number += 1
+
+    @tidy
+    def check(batches):
+        joined, seen = Joined(), {}
+
+        def block(number: pa.Scalar, *packed: pa.Scalar) -> Rooted:
+            number = number.as_py()
+            seen[number] = seen.pop(number, None) or Rooted(*(p.as_py() for p in packed), kind)
+            if len(seen) > 8:  # the one used longest ago
+                del seen[next(iter(seen))]
+            return seen[number]
+
+        for batch in batches:
+            for row in zip(*batch.columns, strict=True):
+                found = unmet_links(block(*row[:4]), block(*row[4:]), threshold, joined)
+                yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    files = min(math.ceil(n / rows_of(math.ceil(size / n))), max(FILES, partitions(reps.sparkSession), math.ceil(size / FILE_BYTES)))
+    table = scratch.table(reps.select("cid", "root", "vec").repartition(files).mapInArrow(pack, "block long, length long, cids binary, roots binary, vecs binary"), "blocks")
+    i, j = (table.select(*(F.col(c).alias(f"{c}_{s}") for c in table.columns)) for s in "ij")
+    pairs = i.join(j.hint("shuffle_replicate_nl"), (F.col("block_i") <= F.col("block_j")) & (F.col("length_i") - F.col("length_j") == 0))
+    return pairs.select(*(f"{c}_{s}" for s in "ij" for c in ("block", "cids", "roots", "vecs"))).mapInArrow(check, "a long, b long")
 
 
 def runs(x: np.ndarray):
@@ -414,20 +543,19 @@ def counted(members: DataFrame, threshold: float, kind: str) -> DataFrame:
 
     def block(table: pa.Table) -> pa.Table:
         mine, cid, copies = (table.column(c).to_numpy() for c in ("mine", "cid", "copies"))
-        x = vectors_of(table.column("vec").to_pylist(), kind)
+        x = Vectors(b"".join(table.column("vec").to_pylist()), len(cid), kind)
         out = np.zeros(len(cid), np.int64)
         lo = mine == mine.min()
         one = lo.all()
         a, b = np.flatnonzero(lo), np.flatnonzero(lo if one else ~lo)
         for k in range(0, len(a), STEP):
-            near = x[a[k : k + STEP]] @ x[b].T >= threshold
+            near = close(x, x, a[k : k + STEP], b, threshold)
             out[a[k : k + STEP]] += near @ copies[b]
             if not one:
                 out[b] += copies[a[k : k + STEP]] @ near
         # within one block a class meets itself: its copies but one are links, whatever rounding says of its own product
         if one:
-            own = np.concatenate([np.einsum("ij,ij->i", x[k : k + STEP], x[k : k + STEP]) for k in range(0, len(x), STEP)]) >= threshold
-            out += np.where(own, -1, copies - 1)
+            out += np.where(reach(x.raw, x.raw, a, a, threshold), -1, copies - 1)
         return pa.table({"cid": pa.array(cid), "n": pa.array(out)})
 
     # a pair of different blocks holds no pair inside a block: those are at i = j
